@@ -41,7 +41,7 @@ ORDER_B1 = {
 @pytest.fixture()
 def order_tables(docs):
     nodes = parse_documents(docs(ORDER_B1), RS.ORDER_NODE)
-    return R.order_tables(R.normalize_orders(nodes, 7)), nodes
+    return R.order_tables(nodes, 7), nodes
 
 
 def rows(df, *cols):
@@ -148,3 +148,15 @@ def test_shop_profile(docs):
     assert row.enabled_presentment_currencies == '["USD","EUR"]'
     assert '"currency_code":"USD"' in row.currency_settings
     assert row.source == "shopify_graphql"
+
+
+def test_document_normalisation_matches_tables(docs):
+    """The document-level normaliser gives the same child values as the explode-first tables."""
+    nodes = parse_documents(docs(ORDER_B1), RS.ORDER_NODE)
+    norm = R.normalize_orders(nodes, 7)
+    d = norm.select(F.explode("discountApplications").alias("d")).select("d.index", "d.valueType", "d.valueAmount")
+    assert sorted(tuple(r) for r in d.collect()) == [(0, "percentage", None), (1, "fixed_amount", 5.5),
+                                                       (2, "fixed_amount", None), (3, None, None)]
+    r = norm.select(F.explode("refunds").alias("r")).select("r.id", "r.note", F.col("r.refundLineItems")[0]["id"])
+    assert [tuple(x) for x in r.collect()] == [(9, sha("n"), 4)]
+    assert norm.select("lineItems").first()[0][0]["id"] == 1

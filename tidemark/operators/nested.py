@@ -110,7 +110,8 @@ def unwrap_connection_expr(c: Column, dtype: DataType) -> Column:
     names = {f.name for f in dtype.fields}
     from_edges = None
     if "edges" in names:
-        from_edges = F.transform(c.getField("edges"), lambda e: e.getField("node"))
+        # Field extraction over an array of structs (no lambda): stays in generated code.
+        from_edges = c.getField("edges").getField("node")
     if "nodes" in names:
         nodes = c.getField("nodes")
         return nodes if from_edges is None else F.coalesce(nodes, from_edges)

@@ -57,12 +57,8 @@ def _ntz(c: Column | str) -> Column:
     return as_utc_ntz(F.col(c) if isinstance(c, str) else c)
 
 
-def _orders(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return R.normalize_orders(feeds.order_nodes(spark, sf, **kw), SHOP_ID)
-
-
 def _order_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return R.order_tables(_orders(spark, sf))
+    return R.order_tables(feeds.order_nodes(spark, sf), SHOP_ID)
 
 
 # ---------------------------------------------------------------------------------------------
