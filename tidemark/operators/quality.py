@@ -35,20 +35,23 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: Sequence[str], pk: Seque
 def orphan_summary(relations: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
     """``(relation, n_children, n_orphans)`` for each ``(name, child, parent, fk, pk)``.
 
-    Per relation: one counting pass over the child marked by a left join to the distinct parent keys.
+    Children are first counted per FK value (partial aggregation, so a hot FK value is combined map-side),
+    then the per-value counts -- one row per distinct FK -- are joined to the distinct parent keys. No task
+    ever receives all children of one parent.
     """
     parts = []
     for name, child, parent, fk, pk in relations:
         p = parent.select(*[_c(k).alias(f"__p{i}") for i, k in enumerate(pk)]).distinct() \
             .withColumn("__hit", F.lit(True))
+        per_key = child.groupBy(*[_c(k) for k in fk]).agg(F.count(F.lit(1)).alias("__n"))
         cond = None
         for i, k in enumerate(fk):
             e = _c(k) == F.col(f"__p{i}")
             cond = e if cond is None else cond & e
-        j = child.select(*[_c(k) for k in fk]).join(p, cond, "left")
+        j = per_key.join(p, cond, "left")
         parts.append(j.agg(
-            F.count(F.lit(1)).cast("bigint").alias("n_children"),
-            F.count_if(F.col("__hit").isNull()).cast("bigint").alias("n_orphans"),
+            F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_children"),
+            F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), F.lit(0)).cast("bigint").alias("n_orphans"),
         ).select(F.lit(name).alias("relation"), "n_children", "n_orphans"))
     out = parts[0]
     for p in parts[1:]:

@@ -202,6 +202,26 @@ def order_nodes(spark: SparkSession, sf_dir: str, bad_gids: bool = False, mixed_
     )
 
 
+HYDRATE_BATCH = 25      # order ids per by-id payload document
+
+
+def order_snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 landing for orders: one ``{id, updatedAt, createdAt}`` JSON line per order (same gids as the nodes)."""
+    o = load(spark, sf_dir, "orders")
+    gid = F.concat(to_gid("Order", F.col("o_orderkey")), F.lit("?channel=web"))
+    stamp = format_instant(F.col("o_orderdate"), micros=False)
+    return o.select(F.to_json(F.struct(gid.alias("id"), stamp.alias("updatedAt"), stamp.alias("createdAt"))).alias("value"))
+
+
+def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 landing: by-id payload documents ``{data:{nodes:[..]}}`` of at most ``HYDRATE_BATCH`` orders."""
+    nodes = order_nodes(spark, sf_dir).withColumn("__batch", F.floor(
+        F.regexp_extract("id", r"/Order/(\d+)", 1).cast("bigint") / HYDRATE_BATCH))
+    cols = [c for c in nodes.columns if c != "__batch"]
+    docs = nodes.groupBy("__batch").agg(F.collect_list(F.struct(*cols)).alias("nodes"))
+    return docs.select(F.to_json(F.struct(F.struct(F.col("nodes").alias("nodes")).alias("data"))).alias("value"))
+
+
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 landing: connection pages of at most ``PAGE_SIZE`` orders as JSON text (``value``).
 

@@ -321,6 +321,13 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'collection__rules', 2 * count(*) FROM part WHERE p_size % 2 = 0
         UNION ALL SELECT 'collection_product', count(*) FROM part
         UNION ALL SELECT 'shop', count(*) FROM supplier WHERE s_acctbal >= 0""",
+    "bulk_orders_load": f"""
+        SELECT o_orderkey AS id, o_orderdate AS updated_at, o_totalprice AS total_price FROM orders
+        WHERE o_orderdate >= {_MERGE_CUT} AND o_orderdate <= {_ts(QY.BULK_WINDOW[1])}""",
+    "payload_scan": """
+        SELECT o_orderkey AS id, o_totalprice AS total_price,
+               (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS n_refunds
+        FROM orders""",
     "stream_merge": "SELECT event_id, user_id, ts, event_type, value FROM events",
     "stream_dedup": "SELECT event_id, user_id, ts, event_type FROM events",
     "stream_change_detect": CHANGED,

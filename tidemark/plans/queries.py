@@ -537,6 +537,30 @@ def freshness_report(spark, sf):
     return Q.freshness_report(e, "event_type", "ts", FRESHNESS_NOW, Q.FRESHNESS_LIMIT_MINUTES, EVENT_RESOURCE)
 
 
+BULK_WINDOW = (datetime(1997, 6, 1), datetime(2001, 12, 31))
+
+
+def bulk_orders_load(spark, sf):
+    """The bulk orders lifecycle: snapshot lines + by-id payloads -> change detection against a manifest
+    left by an earlier run (orders before MERGE_CUT) -> hydrate -> 12 tables -> manifest advanced."""
+    _ctx(spark)
+    store = _store(spark)
+    prior = scans.snapshot_scan(feeds.order_snapshot_lines(spark, sf)).where(
+        F.col("updated_at") < F.lit(MERGE_CUT.isoformat(sep=" ")).cast("timestamp")).select("gid", "updated_at")
+    store.merge(jobs.MANIFEST_TABLE, prior, ["gid"])
+    payloads = scans.payload_scan(feeds.order_payloads(spark, sf), RS.ORDER_NODE)
+    window = W.Window(W.utc(BULK_WINDOW[0]), W.utc(BULK_WINDOW[1]))
+    jobs.load_orders_bulk(store, feeds.order_snapshot_lines(spark, sf), payloads, window, shop_id=SHOP_ID)
+    return store.read("order").select("id", _ntz("updated_at").alias("updated_at"), "total_price")
+
+
+def payload_scan(spark, sf):
+    _ctx(spark)
+    n = scans.payload_scan(feeds.order_payloads(spark, sf), RS.ORDER_NODE)
+    return n.select(gid_to_long("id").alias("id"), money_amount("totalPrice").alias("total_price"),
+                    F.size("refunds").cast("bigint").alias("n_refunds"))
+
+
 # ---------------------------------------------------------------------------------------------
 # full load (all 25 tables through the store)
 # ---------------------------------------------------------------------------------------------
@@ -654,6 +678,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_orphans": fk_orphans,
     "freshness_report": freshness_report,
     "full_load_counts": full_load_counts,
+    "bulk_orders_load": bulk_orders_load,
+    "payload_scan": payload_scan,
     "stream_merge": stream_merge,
     "stream_dedup": stream_dedup,
     "stream_change_detect": stream_change_detect,

@@ -9,9 +9,8 @@ Layout of one table::
   commit file last (create-if-absent), so a failed or retried job leaves the previous version intact and
   readers never see partial output. Task retries after executor loss are handled by Spark's committer.
 * ``merge`` hashes the primary key into ``buckets`` buckets and rewrites only the buckets the delta
-  touches: the cost of a merge follows the delta, not the table. The old side of a touched bucket is
-  anti-joined against the delta keys; AQE broadcasts the delta keys only when their measured size is
-  under the broadcast threshold, otherwise it keeps a shuffle join.
+  touches: the cost of a merge follows the delta, not the table. Live rows of the touched buckets and
+  the delta meet in one key aggregation (no join), which combines map-side before its shuffle.
 * ``batch_id`` makes a merge idempotent: replaying a streaming micro-batch that already committed is a
   no-op.
 * Writes are ``rebalance``d on the bucket so one bucket can span several tasks when it is large.
@@ -28,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import dedupe_by_pk
+from ..operators.merge import _orderable
 
 BUCKET_COL = "__bucket"
 
@@ -94,6 +93,13 @@ class TableStore:
         self.buckets = int(buckets)
         self.fs = _FS(spark)
 
+    @classmethod
+    def for_dataset(cls, spark: SparkSession, root: str, dataset: str, dev_mode: bool = False,
+                    buckets: int = 16) -> "TableStore":
+        """A10: one namespace per dataset; ``dev_mode`` isolates a run in its own suffixed dataset."""
+        name = f"{dataset}_dev_{uuid.uuid4().hex[:8]}" if dev_mode else dataset
+        return cls(spark, f"{root.rstrip('/')}/{name}", buckets)
+
     # -- commit log -------------------------------------------------------------------------------
 
     def _tdir(self, table: str) -> str:
@@ -187,54 +193,60 @@ class TableStore:
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
               batch_id: str | None = None) -> MergeResult:
-        """Upsert ``df`` by ``pk`` (full-row replace, insert otherwise), rewriting touched buckets only."""
+        """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets the delta touches.
+
+        One aggregation decides every key: the live rows of the touched buckets (priority 0) and the delta
+        (priority 1) are unioned and ``max_by`` keeps, per key, the delta row if there is one (the
+        greatest ``prefer`` tuple, then the greatest full row, among delta duplicates), else the live row.
+        The aggregate combines map-side, so a key repeated many times in the delta never lands whole in one
+        task; insert / update counts come from the same pass (observed while writing).
+        """
         done = self._replayed(table, batch_id)
         if done is not None:
             c = done.get("counts", {})
             return MergeResult(table, done["version"], c.get("rows_in", 0), c.get("inserted", 0),
                                c.get("updated", 0), skipped=True)
         pk = list(pk)
-        rows_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
-        src_all = df.observe(rows_in, F.count(F.lit(1)).alias("rows_in"))
-        src = dedupe_by_pk(src_all, pk, prefer).withColumn(BUCKET_COL, self._bucket(pk))
         prev = self.commit_info(table)
         v = (prev["version"] if prev else 0) + 1
         target_dir = f"{self._tdir(table)}/v={v}"
-        flags = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-
+        rows_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
+        delta = df.observe(rows_in, F.count(F.lit(1)).alias("rows_in")).withColumn(BUCKET_COL, self._bucket(pk))
+        live: dict[str, str] = dict(prev["buckets"]) if prev else {}
         if prev is None:
-            out = src.withColumn("__upd", F.lit(False))
-            live: dict[str, str] = {}
+            both = delta.withColumn("__prio", F.lit(1))
         else:
-            live = dict(prev["buckets"])
-            # Touched buckets: at most `buckets` small ints, bounded regardless of data size.
-            src = src.checkpoint(eager=True)
-            touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
+            # The delta is materialised once (reliable checkpoint): it feeds the touched-bucket list and the
+            # merge itself. The list has at most `buckets` entries, whatever the data size.
+            delta = delta.checkpoint(eager=True)
+            touched = sorted(r[0] for r in delta.select(BUCKET_COL).distinct().collect())
             old_paths = [f"{self._tdir(table)}/{live[str(b)]}" for b in touched if str(b) in live]
-            cols = [c for c in src.columns if c != BUCKET_COL]
+            both = delta.withColumn("__prio", F.lit(1))
             if old_paths:
                 old = self.spark.read.schema(prev["schema"]).parquet(*old_paths)
-                old = old.withColumn(BUCKET_COL, self._bucket(pk))
-                keys = src.select(*[F.col(f"`{k}`") for k in pk]).withColumn("__hit", F.lit(True))
-                marked = old.join(keys, pk, "left")
-                kept = marked.where(F.col("__hit").isNull()).drop("__hit")
-                hits = old.select(*pk).withColumn("__upd", F.lit(True))
-                src_flag = src.join(hits, pk, "left").withColumn("__upd", F.coalesce("__upd", F.lit(False)))
-                out = kept.select(*cols, BUCKET_COL).withColumn("__upd", F.lit(None).cast("boolean")) \
-                    .unionByName(src_flag.select(*cols, BUCKET_COL, "__upd"))
-            else:
-                out = src.withColumn("__upd", F.lit(False))
-        out = out.observe(flags, F.count_if(F.col("__upd") == F.lit(True)).alias("updated"),
-                          F.count_if(F.col("__upd") == F.lit(False)).alias("inserted"))
-        data = out.drop("__upd")
-        self._write(data, target_dir, by_bucket=True)
+                old = old.withColumn(BUCKET_COL, self._bucket(pk)).withColumn("__prio", F.lit(0))
+                both = old.unionByName(both.select(*old.columns))
+        rest = [c for c in both.columns if c not in pk and c != "__prio"]
+        tie = [F.col(f"`{c}`") for c in rest if c != BUCKET_COL and _orderable(both.schema[c].dataType)]
+        order = F.struct(F.col("__prio"), *prefer, *tie)
+        decided = both.groupBy(*[F.col(f"`{k}`") for k in pk]).agg(
+            F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__w"),
+            F.min("__prio").alias("__min_prio"), F.max("__prio").alias("__max_prio"))
+        flags = Observation(f"merge_{uuid.uuid4().hex[:8]}")
+        decided = decided.observe(
+            flags,
+            F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 1)).alias("inserted"),
+            F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 0)).alias("updated"))
+        data = decided.select(*[F.col(f"`{k}`") for k in pk], "__w.*")
+        cols = [c for c in df.columns] + [BUCKET_COL]
+        self._write(data.select(*[F.col(f"`{c}`") for c in cols]), target_dir, by_bucket=True)
         written = sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir) if n.startswith(f"{BUCKET_COL}="))
         for b in written:
             live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
         m = flags.get
         counts = {"rows_in": int(rows_in.get.get("rows_in", 0)), "inserted": int(m.get("inserted", 0)),
                   "updated": int(m.get("updated", 0))}
-        schema = _ddl(data.drop(BUCKET_COL)) if prev is None else prev["schema"]
+        schema = _ddl(df) if prev is None else prev["schema"]
         self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
                              "paths": sorted(live.values()), "schema": schema, "batch_id": batch_id,
                              "counts": counts})
