@@ -158,6 +158,10 @@ class TableStore:
             w = df.write
         w.mode("errorifexists").parquet(path)
 
+    def _count_written(self, path: str) -> int:
+        names = [n for n in self.fs.list_names(path) if n.startswith(f"{BUCKET_COL}=")]
+        return self.spark.read.parquet(*[f"{path}/{n}" for n in names]).count() if names else 0
+
     def replace(self, table: str, df: DataFrame, batch_id: str | None = None) -> int:
         """The new content fully replaces the table (new version dir + commit; old data untouched)."""
         done = self._replayed(table, batch_id)
@@ -192,7 +196,7 @@ class TableStore:
         return None
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
-              batch_id: str | None = None) -> MergeResult:
+              batch_id: str | None = None, unique: bool = False) -> MergeResult:
         """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets the delta touches.
 
         One aggregation decides every key: the live rows of the touched buckets (priority 0) and the delta
@@ -200,6 +204,9 @@ class TableStore:
         greatest ``prefer`` tuple, then the greatest full row, among delta duplicates), else the live row.
         The aggregate combines map-side, so a key repeated many times in the delta never lands whole in one
         task; insert / update counts come from the same pass (observed while writing).
+
+        ``unique=True`` declares the delta free of PK duplicates (e.g. children of deduplicated parents):
+        the first load of a table then writes without any aggregation.
         """
         done = self._replayed(table, batch_id)
         if done is not None:
@@ -226,6 +233,19 @@ class TableStore:
                 old = self.spark.read.schema(prev["schema"]).parquet(*old_paths)
                 old = old.withColumn(BUCKET_COL, self._bucket(pk)).withColumn("__prio", F.lit(0))
                 both = old.unionByName(both.select(*old.columns))
+        if unique and prev is None:
+            self._write(delta, target_dir, by_bucket=True)
+            inserted = _metric(rows_in, "rows_in")  # no duplicates, no live rows: all inserted
+            if inserted is None:
+                inserted = self._count_written(target_dir)
+            for b in sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir)
+                            if n.startswith(f"{BUCKET_COL}=")):
+                live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
+            counts = {"rows_in": inserted, "inserted": inserted, "updated": 0}
+            self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
+                                 "paths": sorted(live.values()), "schema": _ddl(df), "batch_id": batch_id,
+                                 "counts": counts})
+            return MergeResult(table, v, counts["rows_in"], inserted, 0)
         rest = [c for c in both.columns if c not in pk and c != "__prio"]
         tie = [F.col(f"`{c}`") for c in rest if c != BUCKET_COL and _orderable(both.schema[c].dataType)]
         order = F.struct(F.col("__prio"), *prefer, *tie)
@@ -243,9 +263,10 @@ class TableStore:
         written = sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir) if n.startswith(f"{BUCKET_COL}="))
         for b in written:
             live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
-        m = flags.get
-        counts = {"rows_in": int(rows_in.get.get("rows_in", 0)), "inserted": int(m.get("inserted", 0)),
-                  "updated": int(m.get("updated", 0))}
+        counts = {"rows_in": _metric(rows_in, "rows_in"), "inserted": _metric(flags, "inserted"),
+                  "updated": _metric(flags, "updated")}
+        if None in counts.values():  # nothing ran for an empty delta
+            counts = {"rows_in": 0, "inserted": 0, "updated": 0}
         schema = _ddl(df) if prev is None else prev["schema"]
         self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
                              "paths": sorted(live.values()), "schema": schema, "batch_id": batch_id,
@@ -253,6 +274,14 @@ class TableStore:
         return MergeResult(table, v, counts["rows_in"], counts["inserted"], counts["updated"])
 
 
+def _metric(obs: Observation, name: str) -> int | None:
+    """Observed metric, or None when the observed plan ran no task (e.g. an input with no partitions)."""
+    try:
+        return int(obs.get.get(name, 0))
+    except Exception:  # noqa: BLE001 - py4j assertion when no metrics were produced
+        return None
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
                      if f.name != BUCKET_COL)
