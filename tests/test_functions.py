@@ -67,3 +67,16 @@ def test_hmac_property(spark, values, key):
 def test_empty_secret_rejected():
     with pytest.raises(ValueError):
         pii_hash(F.col("x"), "")
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.integers(min_value=-5, max_value=5), max_size=6), min_size=1, max_size=8))
+def test_explode_then_regroup_is_identity(spark, arrays):
+    from tidemark.operators.nested import explode_child
+
+    rows = [(i, a) for i, a in enumerate(arrays)]
+    df = spark.createDataFrame(rows, "id long, xs array<int>")
+    child = explode_child(df, "xs", {"id": "parent_id"}, index="index", scalar_name="x")
+    back = child.groupBy("parent_id").agg(F.array_sort(F.collect_list(F.struct("index", "x"))).alias("s"))
+    got = {r.parent_id: [e.x for e in r.s] for r in back.collect()}
+    assert got == {i: a for i, a in rows if a}

@@ -1,8 +1,10 @@
 """Nested-document operators: connection unwrap, path rewrites, struct flatten, child-table explode.
 
 Everything here is schema-driven: the DataFrame schema is walked once on the driver and turned into a
-single projection of native expressions (``transform``, ``withField``, ``posexplode``), so the work
-runs inside whole-stage codegen on the executors and never touches Python per row.
+single projection of native JVM expressions (``withField``, field extraction over arrays, ``posexplode``,
+``transform``); no Python runs per row. Struct rewrites and array field extraction run in generated code;
+``transform`` lambdas are evaluated by the JVM interpreter, which is why the table builders explode lists
+first and rewrite flat rows where they can.
 
 Path syntax (shared by unwrap / hashing / rewrites): ``a.b`` walks into struct fields, ``a[*].b``
 walks into every element of the array ``a``.

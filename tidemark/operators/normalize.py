@@ -190,6 +190,8 @@ SHOP_CART_COLUMNS = {
     "updateOperation": "cart_transform_update",
 }
 SHOP_SOURCE_TAG = "shopify_graphql"
+# Plan names, in precedence order (plus, then partner development, else unknown).
+PLAN_PLUS, PLAN_PARTNER, PLAN_UNKNOWN = "shopify_plus", "partner_development", "unknown"
 
 
 def _get(c: Column, dtype: DataType, name: str) -> Column:
@@ -223,9 +225,9 @@ def shop_profile(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     cols += [
         F.when(has_plan, partner).alias("plan_partner_development"),
         F.when(has_plan, plus).alias("plan_shopify_plus"),
-        F.when(has_plan, F.when(plus, F.lit("shopify_plus"))
-               .when(partner, F.lit("partner_development"))
-               .otherwise(F.lit("unknown"))).alias("plan_name"),
+        F.when(has_plan, F.when(plus, F.lit(PLAN_PLUS))
+               .when(partner, F.lit(PLAN_PARTNER))
+               .otherwise(F.lit(PLAN_UNKNOWN))).alias("plan_name"),
     ]
 
     fmt_t = _field(s, "currencyFormats").dataType

@@ -218,7 +218,7 @@ def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = order_nodes(spark, sf_dir).withColumn("__batch", F.floor(
         F.regexp_extract("id", r"/Order/(\d+)", 1).cast("bigint") / HYDRATE_BATCH))
     cols = [c for c in nodes.columns if c != "__batch"]
-    docs = nodes.groupBy("__batch").agg(F.collect_list(F.struct(*cols)).alias("nodes"))
+    docs = nodes.repartition("__batch").groupBy("__batch").agg(F.collect_list(F.struct(*cols)).alias("nodes"))
     return docs.select(F.to_json(F.struct(F.struct(F.col("nodes").alias("nodes")).alias("data"))).alias("value"))
 
 
@@ -230,7 +230,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = order_nodes(spark, sf_dir).withColumn("__page", F.floor(
         F.regexp_extract("id", r"/Order/(\d+)", 1).cast("bigint") / PAGE_SIZE))
     node_cols = [c for c in nodes.columns if c != "__page"]
-    pages = nodes.groupBy("__page").agg(F.collect_list(F.struct(
+    pages = nodes.repartition("__page").groupBy("__page").agg(F.collect_list(F.struct(
         F.col("id").alias("cursor"), F.struct(*node_cols).alias("node"))).alias("edges"))
     env = F.struct(F.struct(F.struct(
         F.struct(F.lit(False).alias("hasNextPage"), F.lit(None).cast("string").alias("endCursor")).alias("pageInfo"),
@@ -353,7 +353,7 @@ def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     currency = F.when(F.col("s_nationkey") <= 8, F.lit("USD")).when(F.col("s_nationkey") <= 16, F.lit("EUR")) \
         .otherwise(F.lit("GBP"))
     features = F.struct(
-        (bal > 1000).alias("avalaraAvatax"), F.lit("SHOPIFY").alias("branding"),
+        (bal > 1000).alias("avalaraAvatax"), F.lit("STOREFRONT").alias("branding"),
         F.struct((bal > 3000).alias("eligibleForBundles"),
                  F.when(bal <= 3000, F.lit("LOW_BALANCE")).alias("ineligibilityReason"),
                  (bal > 6000).alias("sellsBundles")).alias("bundles"),
@@ -373,7 +373,7 @@ def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_gid("Shop", key).alias("id"),
         F.col("s_name").alias("name"),
         F.concat(F.lit("shop"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("shop-"), key.cast("string"), F.lit(".myshopify.com")).alias("myshopifyDomain"),
+        F.concat(F.lit("shop-"), key.cast("string"), F.lit(".shops.example")).alias("myshopifyDomain"),
         currency.alias("currencyCode"),
         F.struct(F.concat(F.lit("shop"), key.cast("string"), F.lit(".example.com")).alias("host")).alias("primaryDomain"),
         F.struct((bal < 500).alias("partnerDevelopment"), (bal > 5000).alias("shopifyPlus")).alias("plan"),
