@@ -18,6 +18,7 @@ Layout of one table::
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -123,9 +124,15 @@ class TableStore:
     def history(self, table: str) -> list[dict]:
         return [self.commit_info(table, v) for v in self._log(table)]
 
+    def _marker(self, table: str, batch_id: str) -> str:
+        return f"{self._tdir(table)}/_batches/{hashlib.sha1(batch_id.encode('utf-8')).hexdigest()}"
+
     def _commit(self, table: str, info: dict) -> None:
         info = {**info, "committed_at": time.time()}
         self.fs.write_new(f"{self._tdir(table)}/_log/{info['version']}.json", json.dumps(info, sort_keys=True))
+        if info.get("batch_id"):
+            # O(1) replay lookup; written after the commit, so a crash in between only costs a log scan.
+            self.fs.write_new(self._marker(table, info["batch_id"]), str(info["version"]))
 
     def exists(self, table: str) -> bool:
         return bool(self._log(table))
@@ -188,11 +195,15 @@ class TableStore:
         return v
 
     def _replayed(self, table: str, batch_id: str | None) -> dict | None:
+        """The commit that already applied ``batch_id``, if any (marker file; log scan as fallback)."""
         if batch_id is None:
             return None
-        for info in self.history(table):
-            if info.get("batch_id") == batch_id:
-                return info
+        marker = self._marker(table, batch_id)
+        if self.fs.exists(marker):
+            return self.commit_info(table, int(self.fs.read_text(marker).strip()))
+        latest = self.commit_info(table)
+        if latest is not None and latest.get("batch_id") == batch_id:  # crashed before the marker
+            return latest
         return None
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
