@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import DataType, StructType
 
 from ..functions.ids import gid_to_long
 from ..functions.timefmt import money_amount, parse_instant

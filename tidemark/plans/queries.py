@@ -20,7 +20,7 @@ from ..operators import changes as CH
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..operators.merge import merge_counts
-from ..operators.nested import explode_child, flatten, normalize_ids, truncation_report, unwrap_connections
+from ..operators.nested import flatten, normalize_ids, truncation_report, unwrap_connections
 from ..operators.normalize import typed_projection
 from ..session import prepare, scratch_path
 from ..sources import raw_schema as RS
