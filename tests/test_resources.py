@@ -160,3 +160,17 @@ def test_document_normalisation_matches_tables(docs):
     r = norm.select(F.explode("refunds").alias("r")).select("r.id", "r.note", F.col("r.refundLineItems")[0]["id"])
     assert [tuple(x) for x in r.collect()] == [(9, sha("n"), 4)]
     assert norm.select("lineItems").first()[0][0]["id"] == 1
+
+
+def test_null_connections_and_lists(docs):
+    """NULL connections / NULL lists behave as empty lists (no child rows, no error)."""
+    o = {"id": "gid://x/Order/5", "lineItems": None, "refunds": None,
+         "discountApplications": {"edges": None}, "shippingLines": {"edges": []}, "taxLines": None,
+         "customer": None, "email": "Zoë@exämple.com"}
+    t = R.order_tables(parse_documents(docs(o), RS.ORDER_NODE), 1)
+    assert t["order"].count() == 1
+    assert t["order"].first().email == sha("Zoë@exämple.com")
+    assert t["order"].first().customer__id is None
+    for name, df in t.items():
+        if name != "order":
+            assert df.count() == 0, name
