@@ -151,8 +151,11 @@ def order_nodes(spark: SparkSession, sf_dir: str, bad_gids: bool = False, mixed_
     query = F.when(F.col("o_orderstatus") == "P", F.lit("src=a/b")).otherwise(F.lit("channel=web")) \
         if bad_gids else F.lit("channel=web")
     email = F.concat(F.lit("customer"), F.col("o_custkey").cast("string"), F.lit("@example.com"))
-    nodes = F.transform(ls, lambda x, i: _line_node(k, x, i))
-    edges = F.transform(nodes, lambda n: F.struct(n.alias("node"), F.concat(F.lit("c"), n["id"]).alias("cursor")))
+    # one lambda pass builds each edge (node + cursor); the {nodes} form is a field extraction of it
+    edges = F.transform(ls, lambda x, i: F.struct(
+        _line_node(k, x, i).alias("node"),
+        F.concat(F.lit("c"), to_gid("LineItem", line_id(k, i))).alias("cursor")))
+    nodes = edges.getField("node")
     page = F.struct(F.size(ls) > LINE_PAGE_CAP, F.lit(None).cast("string")).cast(
         "struct<hasNextPage:boolean,endCursor:string>")
     if mixed_connections:
