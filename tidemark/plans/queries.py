@@ -57,8 +57,13 @@ def _ntz(c: Column | str) -> Column:
     return as_utc_ntz(F.col(c) if isinstance(c, str) else c)
 
 
-def _order_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return R.order_tables(feeds.order_nodes(spark, sf), SHOP_ID)
+def _order_tables(spark: SparkSession, sf: str, shared: bool = False) -> dict[str, DataFrame]:
+    """The 12 order tables. ``shared``: the caller reads several of them, so the nested orders are built
+    once and cut with a reliable checkpoint instead of being rebuilt per table."""
+    nodes = feeds.order_nodes(spark, sf)
+    if shared:
+        nodes = nodes.checkpoint(eager=True)
+    return R.order_tables(nodes, SHOP_ID)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -67,7 +72,7 @@ def _order_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def order_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     _ctx(spark)
-    t = _order_tables(spark, sf)
+    t = _order_tables(spark, sf, shared=True)
     per_order = t["order__line_items"].groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("units"))
     o = t["order"].select(F.col("id").alias("order_id"), F.to_date("updated_at").alias("day"))
@@ -229,7 +234,7 @@ def pii_hash_wildcard(spark, sf):
 
 def inject_shop_id(spark, sf):
     _ctx(spark)
-    t = _order_tables(spark, sf)
+    t = _order_tables(spark, sf, shared=True)
     parts = []
     for name in ("order", "order__line_items", "order__line_items__tax_lines", "order__refunds",
                  "order__shipping_lines"):
@@ -293,7 +298,7 @@ def explode_order_tax_lines(spark, sf):
 
 def explode_shipping_lines(spark, sf):
     _ctx(spark)
-    t = _order_tables(spark, sf)
+    t = _order_tables(spark, sf, shared=True)
     sl = t["order__shipping_lines"].select(F.col("id").alias("shipping_line_id"), "order_id", "title", "code")
     tl = t["order__shipping_lines__tax_lines"].select("shipping_line_id", "index", F.col("title").alias("tax_title"), "rate")
     return sl.join(tl, "shipping_line_id")
@@ -514,7 +519,7 @@ def two_phase_replay(spark, sf):
 
 def fk_orphans(spark, sf):
     _ctx(spark)
-    t = _order_tables(spark, sf)
+    t = _order_tables(spark, sf, shared=True)
     cust = R.customer_tables(R.normalize_customers(feeds.customer_nodes(spark, sf), SHOP_ID))["customer"]
     prod = R.product_tables(R.normalize_products(feeds.product_nodes(spark, sf), SHOP_ID))["product"]
     return Q.orphan_summary([
