@@ -44,7 +44,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     * A reliable checkpoint directory: taken from the session; a local folder only if none is set.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
+    try:
+        checkpoint_dir(spark)
+    except Exception:  # noqa: BLE001 - no classic SparkContext (e.g. Spark Connect): server config decides
+        pass
     return spark
 
 
