@@ -174,3 +174,14 @@ def test_null_connections_and_lists(docs):
     for name, df in t.items():
         if name != "order":
             assert df.count() == 0, name
+
+
+def test_strict_pii_paths_reach_child_tables(docs):
+    from tidemark.operators.privacy import ORDER_PII_PATHS, STRICT_EXTRA_ORDER_PATHS
+
+    o = dict(ORDER_B1, shippingLines={"edges": [{"node": {"id": "gid://x/SL/3", "phone": "+1 555"}}]})
+    nodes = parse_documents(docs(o), RS.ORDER_NODE)
+    strict = R.order_tables(nodes, 7, pii_paths=ORDER_PII_PATHS + STRICT_EXTRA_ORDER_PATHS)
+    default = R.order_tables(nodes, 7)
+    assert strict["order__shipping_lines"].first().phone == sha("+1 555")
+    assert default["order__shipping_lines"].first().phone == "+1 555"

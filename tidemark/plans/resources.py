@@ -131,6 +131,11 @@ def order_tables(nodes: DataFrame, shop_id: int | Column, loaded_at: Column | No
     paths = list(ORDER_PII_PATHS if pii_paths is None else pii_paths)
     root = hash_pii_paths(normalize_ids(flatten_order_customer_spend(_scalar_part(base))), paths, secret)
 
+    def child_paths(lst: str, own: list[str] | None = None) -> list[str]:
+        """Paths into ``lst[*]`` apply to that child table (the list is exploded before hashing)."""
+        prefix = f"{lst}[*]."
+        return list(own or []) + [p[len(prefix):] for p in paths if p.startswith(prefix)]
+
     cut = stage or (lambda df: df)
     # Line items and refunds feed 4 and 3 tables: with a `stage` hook they are exploded once and cut, so
     # their tables read narrow line rows instead of whole orders.
@@ -142,18 +147,19 @@ def order_tables(nodes: DataFrame, shop_id: int | Column, loaded_at: Column | No
     da = da.select(*[c for c in da.columns if c != "value"], *[v.alias(k) for k, v in value.items()])
     return {
         "order": _table(root),
-        "order__line_items": _child_table(li),
+        "order__line_items": _child_table(li, child_paths("lineItems"), secret),
         "order__line_items__tax_lines": _child_table(_explode(li, "taxLines", "lineItemId", index=True)),
         "order__line_items__discount_allocations": _child_table(
             _explode(li, "discountAllocations", "lineItemId", index=True)),
         "order__line_items__custom_attributes": _child_table(
             _explode(li, "customAttributes", "lineItemId", index=True)),
-        "order__refunds": _child_table(rf, REFUND_PII_PATHS, secret),
+        "order__refunds": _child_table(rf, child_paths("refunds", REFUND_PII_PATHS), secret),
         "order__refunds__refund_line_items": _child_table(_explode(rf, "refundLineItems", "refundId")),
         "order__refunds__order_adjustments": _child_table(_explode(rf, "orderAdjustments", "refundId")),
-        "order__discount_applications": _child_table(da),
-        "order__tax_lines": _child_table(_explode(base, "taxLines", "orderId", index=True)),
-        "order__shipping_lines": _child_table(sl),
+        "order__discount_applications": _child_table(da, child_paths("discountApplications"), secret),
+        "order__tax_lines": _child_table(_explode(base, "taxLines", "orderId", index=True),
+                                         child_paths("taxLines"), secret),
+        "order__shipping_lines": _child_table(sl, child_paths("shippingLines"), secret),
         "order__shipping_lines__tax_lines": _child_table(_explode(sl, "taxLines", "shippingLineId", index=True)),
     }
 
