@@ -79,3 +79,20 @@ def test_bulk_orders_path(spark, tmp_path):
     # second run: the manifest already holds the snapshot -> nothing to hydrate
     rep2 = jobs.load_orders_bulk(store, snaps, payloads, w, shop_id=7)
     assert rep2.to_hydrate == 0
+
+
+def test_orphan_modes(spark, tmp_path):
+    """A re-loaded order that lost a line keeps the stale child by default, drops it with 'delete'."""
+    from tidemark.sources.scans import parse_documents
+    from tidemark.sources import raw_schema as RS
+
+    first = dict(ORDER_B1)
+    second = dict(ORDER_B1, lineItems={"edges": [ORDER_B1["lineItems"]["edges"][0]]})
+    for mode, expected in (("keep", [1, 2]), ("delete", [1])):
+        store = TableStore(spark, str(tmp_path / mode), buckets=4)
+        for i, doc in enumerate((first, second)):
+            nodes = parse_documents(spark.createDataFrame([(json.dumps(doc),)], "value string"), RS.ORDER_NODE)
+            jobs.run(store, {"orders": nodes}, ["orders"], shop_id=7, batch_id=f"{mode}{i}", orphans=mode)
+        assert sorted(r.id for r in store.read("order__line_items").collect()) == expected
+        # grandchildren of the surviving line are untouched
+        assert store.read("order__line_items__tax_lines").count() == 2

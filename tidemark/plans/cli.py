@@ -42,6 +42,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--bulk-orders", action="store_true", help="orders via snapshot + by-id payloads")
     ap.add_argument("--max-rows", type=int, default=0)
     ap.add_argument("--buckets", type=int, default=256)
+    ap.add_argument("--orphans", default="keep", choices=["keep", "delete"],
+                    help="children of re-loaded parents missing from the new load: keep (default) or delete")
     ap.add_argument("--secret-env", default="PII_HASH_SECRET")
     ap.add_argument("--allow-unkeyed-hash", action="store_true")
     return ap.parse_args(argv)
@@ -70,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
                               secret=secret, max_rows=a.max_rows, batch_id=load_id)
         resources = [r for r in resources if r != "orders"]
     report = jobs.run(store, read_landed(spark, a.landing, resources), resources, shop_id=shop_id, secret=secret,
-                      batch_id=load_id)
+                      batch_id=load_id, orphans=a.orphans)
     jobs.record_load(store, report, load_id, now)
 
 

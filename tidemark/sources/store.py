@@ -207,7 +207,8 @@ class TableStore:
         return None
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
-              batch_id: str | None = None, unique: bool = False) -> MergeResult:
+              batch_id: str | None = None, unique: bool = False,
+              reloaded_parents: DataFrame | None = None) -> MergeResult:
         """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets the delta touches.
 
         One aggregation decides every key: the live rows of the touched buckets (priority 0) and the delta
@@ -218,6 +219,10 @@ class TableStore:
 
         ``unique=True`` declares the delta free of PK duplicates (e.g. children of deduplicated parents):
         the first load of a table then writes without any aggregation.
+
+        ``reloaded_parents`` (FK columns only) switches on orphan deletion: live rows whose FK is among
+        the reloaded parents and whose key is not in the delta are removed. The buckets holding such rows
+        are found by a scan of the live FK / PK columns only and added to the touched set.
         """
         done = self._replayed(table, batch_id)
         if done is not None:
@@ -231,18 +236,34 @@ class TableStore:
         rows_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
         delta = df.observe(rows_in, F.count(F.lit(1)).alias("rows_in")).withColumn(BUCKET_COL, self._bucket(pk))
         live: dict[str, str] = dict(prev["buckets"]) if prev else {}
+        touched: list[int] = []
+        gone = None
+        if reloaded_parents is not None:
+            fk = list(reloaded_parents.columns)
+            gone = reloaded_parents.dropDuplicates().withColumn("__gone", F.lit(True))
         if prev is None:
             both = delta.withColumn("__prio", F.lit(1))
         else:
             # The delta is materialised once (reliable checkpoint): it feeds the touched-bucket list and the
             # merge itself. The list has at most `buckets` entries, whatever the data size.
             delta = delta.checkpoint(eager=True)
-            touched = sorted(r[0] for r in delta.select(BUCKET_COL).distinct().collect())
+            buckets = delta.select(BUCKET_COL)
+            if gone is not None:  # live children of reloaded parents, wherever their keys hash
+                all_live = self.spark.read.schema(prev["schema"]).parquet(
+                    *[f"{self._tdir(table)}/{p}" for p in prev["paths"]])
+                buckets = buckets.unionByName(all_live.select(*fk, *[k for k in pk if k not in fk])
+                                              .join(gone.select(*fk), fk, "left_semi")
+                                              .select(self._bucket(pk).alias(BUCKET_COL)))
+            touched = sorted(r[0] for r in buckets.distinct().collect())
             old_paths = [f"{self._tdir(table)}/{live[str(b)]}" for b in touched if str(b) in live]
             both = delta.withColumn("__prio", F.lit(1))
+            if gone is not None:
+                both = both.withColumn("__gone", F.lit(False))
             if old_paths:
                 old = self.spark.read.schema(prev["schema"]).parquet(*old_paths)
                 old = old.withColumn(BUCKET_COL, self._bucket(pk)).withColumn("__prio", F.lit(0))
+                if gone is not None:
+                    old = old.join(gone, fk, "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
                 both = old.unionByName(both.select(*old.columns))
         if unique and prev is None:
             self._write(delta, target_dir, by_bucket=True)
@@ -264,20 +285,28 @@ class TableStore:
             F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__w"),
             F.min("__prio").alias("__min_prio"), F.max("__prio").alias("__max_prio"))
         flags = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-        decided = decided.observe(
-            flags,
-            F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 1)).alias("inserted"),
-            F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 0)).alias("updated"))
+        metrics = [F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 1)).alias("inserted"),
+                   F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 0)).alias("updated")]
+        if "__gone" in rest:
+            metrics.append(F.count_if(F.col("__w.__gone")).alias("deleted"))
+        decided = decided.observe(flags, *metrics)
         data = decided.select(*[F.col(f"`{k}`") for k in pk], "__w.*")
+        if gone is not None and "__gone" in data.columns:  # a reloaded parent's child absent from the delta
+            data = data.where(~F.col("__gone"))  # delta winners carry __gone = false
         cols = [c for c in df.columns] + [BUCKET_COL]
         self._write(data.select(*[F.col(f"`{c}`") for c in cols]), target_dir, by_bucket=True)
         written = sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir) if n.startswith(f"{BUCKET_COL}="))
+        for b in touched:  # a rewritten bucket left without rows (orphan deletion) is no longer live
+            if b not in written:
+                live.pop(str(b), None)
         for b in written:
             live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
         counts = {"rows_in": _metric(rows_in, "rows_in"), "inserted": _metric(flags, "inserted"),
                   "updated": _metric(flags, "updated")}
         if None in counts.values():  # nothing ran for an empty delta
             counts = {"rows_in": 0, "inserted": 0, "updated": 0}
+        if "__gone" in rest:
+            counts["deleted"] = _metric(flags, "deleted") or 0
         schema = _ddl(df) if prev is None else prev["schema"]
         self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
                              "paths": sorted(live.values()), "schema": schema, "batch_id": batch_id,
