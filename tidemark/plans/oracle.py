@@ -71,6 +71,7 @@ SQL: dict[str, str] = {
         SELECT 'gid://shop/Order/' || CAST(user_id AS VARCHAR) AS gid, ts AS updated_at,
                CAST(date_trunc('day', ts) AS TIMESTAMP) AS created_at
         FROM events WHERE event_type <> 'error'""",
+    "props_json_scan": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "flatten_struct": """
         SELECT c_custkey AS customer__customer_id, c_name AS customer__full_name,
                n_nationkey AS customer__home_nation__nation_key, n_name AS customer__home_nation__nation_name,

@@ -115,6 +115,13 @@ def snapshot_scan(spark, sf):
     return s.select("gid", _ntz("updated_at").alias("updated_at"), _ntz("created_at").alias("created_at"))
 
 
+def props_json_scan(spark, sf):
+    """Landed JSON text inside a table column (events.props) parsed with an explicit schema."""
+    _ctx(spark)
+    e = feeds.load(spark, sf, "events").select("event_id", "props")
+    return scans.parse_column(e, "props", "k bigint").select("event_id", F.col("doc.k").alias("k"))
+
+
 def flatten_struct(spark, sf):
     _ctx(spark)
     c, n, r = (feeds.load(spark, sf, t) for t in ("customer", "nation", "region"))
@@ -628,6 +635,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unwrap_connection": unwrap_connection,
     "page_scan": page_scan,
     "snapshot_scan": snapshot_scan,
+    "props_json_scan": props_json_scan,
     "flatten_struct": flatten_struct,
     "money_bag_flatten": money_bag_flatten,
     "typed_projection": typed_projection_q,
