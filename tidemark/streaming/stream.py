@@ -8,6 +8,7 @@ with the micro-batch id recorded in the TableStore commit log: a replayed batch
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,11 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, glob: s
     return r.load(directory)
 
 
+def _batch_tag(checkpoint: str, batch_id: int) -> str:
+    """Replay key of a micro-batch: unique per streaming query (its checkpoint) and batch id."""
+    return f"stream:{hashlib.sha1(checkpoint.encode('utf-8')).hexdigest()[:16]}:{batch_id}"
+
+
 def _run(stream: DataFrame, fn, checkpoint: str, name: str) -> None:
     q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).queryName(name).start())
@@ -41,7 +47,7 @@ def stream_merge(stream: DataFrame, store: TableStore, table: str, pk: Sequence[
                  prefer: Sequence[str] = ()) -> None:
     """Every micro-batch is PK-merged into ``table`` (idempotent on the batch id)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.merge(table, batch, pk, prefer=[F.col(p) for p in prefer], batch_id=f"stream:{batch_id}")
+        store.merge(table, batch, pk, prefer=[F.col(p) for p in prefer], batch_id=_batch_tag(checkpoint, batch_id))
 
     _run(stream, sink, checkpoint, f"merge_{table}")
 
@@ -58,7 +64,7 @@ def stream_dedup(stream: DataFrame, store: TableStore, table: str, keys: Sequenc
         deduped = deduped.withColumn(event_time, F.col(event_time).cast("timestamp_ntz"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.append(table, batch, batch_id=f"stream:{batch_id}")
+        store.append(table, batch, batch_id=_batch_tag(checkpoint, batch_id))
 
     _run(deduped, sink, checkpoint, f"dedup_{table}")
 
@@ -68,7 +74,7 @@ def stream_change_detect(stream: DataFrame, store: TableStore, manifest_table: s
     """Per micro-batch, latest snapshot per key -> changes vs the stored manifest -> append changes,
     then advance the manifest. Manifest first read, then rewritten only after the changes are committed."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        tag = f"stream:{batch_id}"
+        tag = _batch_tag(checkpoint, batch_id)
         latest = latest_by_key(batch, key, list(order)).select(key, ts)
         manifest = store.read(manifest_table)
         changes = change_detect(latest, manifest, key, ts)
