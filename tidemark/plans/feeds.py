@@ -333,7 +333,7 @@ def collection_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_number(c: Column) -> Column:
-    return F.regexp_extract(c, r"#(\d+)", 1).cast("bigint")
+    return F.regexp_extract(c, r"#(\d+)", 1).try_cast("bigint")
 
 
 def membership_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

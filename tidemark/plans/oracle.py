@@ -98,6 +98,18 @@ SQL: dict[str, str] = {
                c_acctbal AS total_spent, 'USD' AS total_spent_currency,
                TIMESTAMP '2024-01-01 00:00:00' + to_days(c_nationkey) AS updated_at
         FROM customer""",
+    "normalize_document": f"""WITH {LINES},
+        per AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linenumber % 2 = 0) AS pct,
+                       min(CASE WHEN pos = 0 THEN {LINE_ID} END) AS first_line,
+                       arg_min(CASE WHEN l_returnflag = 'R' THEN {LINE_ID} END, CASE WHEN l_returnflag = 'R' THEN pos END)
+                           AS first_refund
+                FROM li GROUP BY 1)
+        SELECT o_orderkey AS id, sha256('customer' || CAST(o_custkey AS VARCHAR) || '@example.com') AS email,
+               coalesce(n, 0) AS n_lines, coalesce(pct, 0) AS n_percentage_discounts,
+               first_line AS first_line_id,
+               CASE WHEN first_refund IS NOT NULL THEN sha256('return of line ' || CAST(first_refund AS VARCHAR)) END
+                   AS first_refund_note
+        FROM orders LEFT JOIN per ON l_orderkey = o_orderkey""",
     "discount_value_normalize": f"""WITH {LINES}
         SELECT l_orderkey AS order_id, pos AS index,
                CASE WHEN l_linenumber % 2 = 0 THEN 'percentage' ELSE 'fixed_amount' END AS value_type,

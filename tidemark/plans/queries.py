@@ -162,6 +162,21 @@ def customer_flatten(spark, sf):
                     "phone", "total_spent", "total_spent_currency", _ntz("updated_at").alias("updated_at"))
 
 
+def normalize_document(spark, sf):
+    """Document-level normalisation (nested unwrap, discount values, GID parse, PII hash inside arrays)
+    checked through per-order facts of the normalised document."""
+    _ctx(spark)
+    d = R.normalize_orders(feeds.order_nodes(spark, sf), SHOP_ID)
+    pct = F.filter("discountApplications", lambda x: x["valueType"] == "percentage")
+    return d.select(
+        F.col("id"), F.col("email"),
+        F.size("lineItems").cast("bigint").alias("n_lines"),
+        F.size(pct).cast("bigint").alias("n_percentage_discounts"),
+        F.try_element_at(F.col("lineItems.id"), F.lit(1)).alias("first_line_id"),
+        F.try_element_at(F.col("refunds.note"), F.lit(1)).alias("first_refund_note"),
+    )
+
+
 def discount_value_normalize(spark, sf):
     _ctx(spark)
     t = _order_tables(spark, sf)["order__discount_applications"]
@@ -640,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "money_bag_flatten": money_bag_flatten,
     "typed_projection": typed_projection_q,
     "customer_flatten": customer_flatten,
+    "normalize_document": normalize_document,
     "discount_value_normalize": discount_value_normalize,
     "collection_classify": collection_classify,
     "shop_profile": shop_profile,
