@@ -29,7 +29,24 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+FORBIDDEN_PLAN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                        "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    ok, msg = compare(E.queries()[key](spark, SF), con, E.oracle_sql()[key])
+    df = E.queries()[key](spark, SF)
+    ok, msg = compare(df, con, E.oracle_sql()[key])
     assert ok, msg
+    plan = _plan(df)
+    assert not [n for n in FORBIDDEN_PLAN_NODES if n in plan], plan
+
+
+def test_range_filter_is_pushed_to_parquet(spark):
+    plan = E.queries()["updated_range_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
