@@ -96,3 +96,14 @@ def test_orphan_modes(spark, tmp_path):
         assert sorted(r.id for r in store.read("order__line_items").collect()) == expected
         # grandchildren of the surviving line are untouched
         assert store.read("order__line_items__tax_lines").count() == 2
+
+
+def test_cli_bulk_orders_window(spark, tmp_path):
+    """--bulk-orders with an explicit window: orders come from snapshots + by-id payloads only."""
+    landing = _landing(tmp_path)
+    cli.main(["--landing", str(landing), "--store", str(tmp_path / "tables"), "--dataset", "b", "--mode", "orders",
+              "--bulk-orders", "--start", "2024-01-01T00:00:00Z", "--end", "2024-01-05T00:00:00Z",
+              "--shop-id", "7", "--allow-unkeyed-hash", "--buckets", "4"])
+    store = TableStore(spark, str(tmp_path / "tables" / "b"))
+    assert [r.id for r in store.read("order").collect()] == [100]
+    assert store.read(jobs.MANIFEST_TABLE).count() == 1
