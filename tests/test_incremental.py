@@ -101,3 +101,18 @@ def test_store_replace_and_append(spark, store):
     store.append("a", spark.createDataFrame([(1,)], "k long"))
     store.append("a", spark.createDataFrame([(2,)], "k long"))
     assert sorted(r.k for r in store.read("a").collect()) == [1, 2]
+
+
+def test_dataset_namespaces_and_history(spark, tmp_path):
+    from tidemark.sources.store import TableStore
+
+    prod = TableStore.for_dataset(spark, str(tmp_path), "shop_data", buckets=4)
+    dev = TableStore.for_dataset(spark, str(tmp_path), "shop_data", dev_mode=True, buckets=4)
+    assert prod.root.endswith("/shop_data") and dev.root != prod.root and "shop_data_dev_" in dev.root
+    prod.merge("t", spark.createDataFrame([(1, "a")], "k long, v string"), ["k"])
+    prod.merge("t", spark.createDataFrame([(1, "b"), (2, "c")], "k long, v string"), ["k"])
+    assert [h["counts"]["inserted"] for h in prod.history("t")] == [1, 1]
+    assert [h["counts"]["updated"] for h in prod.history("t")] == [0, 1]
+    assert {r.k: r.v for r in prod.read("t", version=1).collect()} == {1: "a"}
+    assert {r.k: r.v for r in prod.read("t").collect()} == {1: "b", 2: "c"}
+    assert not dev.exists("t")
