@@ -37,11 +37,21 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None, compression
     return spark.read.schema(schema).parquet(path)
 
 
+def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """A staged table marked for broadcast if it has at most ``rows`` rows, else as it is (joined by a shuffle)."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, though ``body`` uses it many times."""
     return F.transform(F.array(value), body)[0]
 
 
+def once(value: Column) -> Column:
+    """``value`` marked so that the optimizer neither copies it into later expressions nor moves filters below it."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: ``nodes(id)``, ``edges(a, b)`` -> (id, component), the smallest id reachable.
 

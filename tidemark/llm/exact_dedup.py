@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import stage
+from .common import maybe_broadcast, stage
 
 _BLANK = b" \t\n\x0b\x0c\r"
 _WINDOW = 16
@@ -86,23 +86,27 @@ def _chunker(bits: int, fp_bits: int):
     return run
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bits: int = 11, fp_bits: int = 64) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bits: int = 11, fp_bits: int = 64, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(rid, doc_id, n_chars, text_sha256, keep_id, group_size, kept), one row per row of ``docs``.
 
     Of equal texts the row with the most code points in its original text, then the smallest id, is kept.
     ``chunk_bits``: 2**chunk_bits bytes a chunk on average; ``fp_bits``: bits of a fingerprint (tests lower it to force
-    collisions; results don't depend on it).
+    collisions; results don't depend on it); ``broadcast_rows``: repeated fingerprints (8 bytes each) that are broadcast;
+    more are joined by a shuffle.
     """
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"), F.coalesce(F.length(text_col), F.lit(0)).cast("long"))
     chunks = stage(narrow.mapInArrow(_chunker(chunk_bits, fp_bits), CHUNKS), "chunks")
 
-    seen = chunks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    # Only bodies whose fingerprint occurs again move, and each once a task.
+    seen = stage(chunks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "seen")
+    seen = maybe_broadcast(seen, broadcast_rows)
     bodies = stage(chunks.select("fp", "body").join(seen, "fp", "left_semi").groupBy("fp", "body").agg(F.count("*").alias("n")), "bodies")
     clash = bodies.groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp")
     # Several bodies under one fingerprint: a body's ordinal is the number of smaller bodies.
     other = bodies.join(clash, "fp", "left_semi").select("fp", "body")
     smaller = other.alias("x").join(other.alias("y"), (F.col("x.fp") == F.col("y.fp")) & (F.col("y.body") < F.col("x.body")))
     ordinals = smaller.groupBy(F.col("x.fp").alias("fp"), F.col("x.body").alias("body")).agg(F.count("*").cast("int").alias("nth"))
+    ordinals = maybe_broadcast(stage(ordinals, "clashes"), broadcast_rows // 1000)
     exceptions = stage(chunks.join(ordinals, ["fp", "body"]).select("rid", "ord", "nth"), "ordinals")
 
     ids = chunks.drop("body").join(exceptions, ["rid", "ord"], "left").withColumn("nth", F.coalesce("nth", F.lit(0)))
