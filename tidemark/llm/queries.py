@@ -5,9 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import byte_bpe, packing, quality, secret_scan
 from .common import read
 from .exact_dedup import exact_dedup
+from .kd_sharding import kd_shards
+
+
+def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents")).select("doc_id", *quality.ADDED)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_random")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents")))
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +37,42 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards(read(spark, sf_dir, "documents"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_cascade": op3_quality_cascade,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op7_mixture_packing": op7_mixture_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_kd_sharding": op9_kd_sharding,
 }
 
 SQL: dict[str, str] = {
+    "op3_quality_cascade": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        wr AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+        win AS (SELECT doc_id, i, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS k,
+                       count(*) OVER (PARTITION BY doc_id) AS n FROM wr),
+        twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win WHERE i <= n - 7),
+        rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(8) AS r(j) WHERE c > 1 GROUP BY doc_id),
+        ln AS (SELECT doc_id, [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM d),
+        b AS (SELECT d.doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                     len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines,
+                     len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+              FROM d JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
+        f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > n_words OR 2 * word_chars < 5 * n_words OR word_chars > 14 * n_words
+                    OR 100 * n_dup_lines > 40 * n_lines OR 100 * len(regexp_extract_all(t, '\p{Lu}')) > 40 * word_chars
+                    OR 2 * len(regexp_extract_all(t, '!')) > n_words OR 100 * len(regexp_extract_all(t, '[0-9]')) > 40 * word_chars
+                    OR len(list_distinct(w)) ** 2 < n_words) AS kept
+        FROM f""",
     "op8_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
