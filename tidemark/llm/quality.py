@@ -123,6 +123,14 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     """``docs`` with the base columns and ``kept``."""
     cascade = F.when(F.col("base_failed"), F.lit(False))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    for rule, _, _ in order_rules(docs.select(text_col), rules, text_col, sample_rows):
+    for rule, _, _ in order_rules(docs.select(F.col(text_col)), rules, text_col, sample_rows):
         cascade = cascade.when(rule.rejects(text), F.lit(False))
     return base_columns(docs, text_col).withColumn("kept", cascade.otherwise(F.lit(True))).drop("_words")
+
+
+def passing(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns only."""
+    # The operator's columns take names that ``docs`` may use itself: it works on a renamed copy.
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
+    judged = judge(docs.withColumnsRenamed(own), own[text_col], **params).where("kept")
+    return judged.select([F.col(o).alias(c) for c, o in own.items()])

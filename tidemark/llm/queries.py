@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, quality, secret_scan
+from . import byte_bpe, html_extract, packing, quality, secret_scan, toxicity
 from .common import read
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .kd_sharding import kd_shards
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select("doc_id", *quality.ADDED)
 
@@ -28,6 +33,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _remainder(column: str, n: int) -> Column:
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _remainder("doc_id", 4) != 2)
+    return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -44,13 +58,21 @@ def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_cascade": op3_quality_cascade,
     "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_mixture_packing": op7_mixture_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_kd_sharding": op9_kd_sharding,
+    "op10_site_style_tree": op10_site_style_tree,
 }
 
 SQL: dict[str, str] = {
