@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, packing, quality, secret_scan, toxicity
+from . import byte_bpe, html_extract, katz, packing, quality, secret_scan, toxicity
 from .common import read
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .kd_sharding import kd_shards
 
 
+def _remainder(column: str, n: int) -> Column:
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.katz_scores(read(spark, sf_dir, "documents"), _remainder("doc_id", 10) != 0)
+    held_out = (_remainder("doc_id", 10) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
@@ -33,10 +43,6 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def _remainder(column: str, n: int) -> Column:
-    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
-
-
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _remainder("doc_id", 4) != 2)
     return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -64,6 +70,7 @@ def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_backoff": op1_katz_backoff,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_cascade": op3_quality_cascade,
     "op4_secret_scan": op4_secret_scan,
