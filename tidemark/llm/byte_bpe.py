@@ -62,15 +62,25 @@ def id_bytes(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def _encoder(ranks: str, n_keys: int):
-    """Appends the ids of the text in the last column and drops the text; the first ``n_keys`` columns stay."""
+def _encoder(ranks: str, n_keys: int, decoded: bool, rows: int = 500):
+    """Appends the ids of the text in the last column, and what they decode to; the text goes, the first ``n_keys``
+    columns stay."""
 
     def run(batches):
         enc = encoding(ranks)
         for batch in batches:
-            ids = [id_bytes(enc.encode_ordinary(t)) if t else b"" for t in batch.column(n_keys).to_pylist()]
-            names = [*batch.schema.names[:n_keys], "ids"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_keys], pa.array(ids, pa.binary())], names=names)
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                ids, raw = [], []
+                for text in part.column(n_keys).to_pylist():
+                    own = enc.encode_ordinary(text) if text else []
+                    ids.append(id_bytes(own))
+                    if decoded:
+                        raw.append(enc.decode_bytes(own))
+                columns, names = [pa.array(ids, pa.binary())], ["ids"]
+                if decoded:
+                    columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "decoded"]
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_keys], *columns], names=[*batch.schema.names[:n_keys], *names])
 
     return run
 
@@ -111,7 +121,7 @@ def _boundary_finder(chunk: int, overlap: int):
     return run
 
 
-def _long(docs: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
+def _long(docs: DataFrame, ranks: str, chunk: int, overlap: int, decoded: bool) -> DataFrame:
     cut = docs.mapInArrow(_cutter(chunk, overlap), "rid long, doc_id long, idx int, chunk string").repartition("rid", "idx")
     cut = stage(cut.mapInArrow(_boundary_finder(chunk, overlap), "rid long, doc_id long, idx int, chunk string, heads array<int>, tails array<int>"), "bpe_chunks")
 
@@ -126,24 +136,27 @@ def _long(docs: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
     parts = cut.select("rid", "doc_id", "idx", "chunk").join(sync, ["rid", "idx"]).select("rid", "doc_id", "piece", "idx", part.alias("part"))
     pieces = parts.groupBy("rid", "doc_id", "piece").agg(F.sort_array(F.collect_list(F.struct("idx", "part"))).alias("p"))
     pieces = pieces.select("rid", "doc_id", "piece", F.array_join(F.col("p.part"), "").alias("text"))
-    encoded = pieces.mapInArrow(_encoder(ranks, 3), "rid long, doc_id long, piece long, ids binary")
-    joined = encoded.groupBy("rid", "doc_id").agg(F.sort_array(F.collect_list(F.struct("piece", F.hex("ids").alias("h")))).alias("p"))
-    return joined.select("doc_id", F.unhex(F.array_join(F.col("p.h"), "")).alias("ids"))
+    names = ["ids", "decoded"] if decoded else ["ids"]
+    encoded = pieces.mapInArrow(_encoder(ranks, 3, decoded), "rid long, doc_id long, piece long, " + ", ".join(f"{n} binary" for n in names))
+    joined = encoded.groupBy("rid", "doc_id").agg(F.sort_array(F.collect_list(F.struct("piece", *[F.hex(n).alias(n) for n in names]))).alias("p"))
+    return joined.select("doc_id", *[F.unhex(F.array_join(F.col(f"p.{n}"), "")).alias(n) for n in names])
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, chunk_chars: int = 32768, overlap: int = 512) -> DataFrame:
-    """(doc_id, ids): the ids of each text as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, chunk_chars: int = 32768, overlap: int = 512, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids): the ids of each text as little-endian unsigned 32-bit integers; with ``decoded`` also the raw bytes
+    that they decode to, piece by piece in the worker that has them."""
     if overlap > chunk_chars:
         raise ValueError("the overlap can't be longer than a chunk")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = F.coalesce(F.length("text"), F.lit(0))
-    short = rows.where(size <= chunk_chars).mapInArrow(_encoder(ranks, 1), "doc_id long, ids binary")
+    schema = "doc_id long, ids binary, decoded binary" if decoded else "doc_id long, ids binary"
+    short = rows.where(size <= chunk_chars).mapInArrow(_encoder(ranks, 1, decoded), schema)
     long = rows.where(size > chunk_chars).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    return short.unionByName(_long(long, ranks, chunk_chars, overlap))
+    return short.unionByName(_long(long, ranks, chunk_chars, overlap, decoded))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", ranks: str = RANKS) -> DataFrame:
-    """``encoded`` and ``decoded``: the joined raw bytes of the ids."""
+    """``encoded`` and ``decoded``: the joined raw bytes of the ids, for ids that come from elsewhere."""
 
     def run(batches):
         enc = encoding(ranks)

@@ -38,7 +38,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents")))
+    both = byte_bpe.encode(read(spark, sf_dir, "documents"), decoded=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
