@@ -16,15 +16,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from .common import stage
 
-_STATE = T.StructType([T.StructField(n, T.LongType()) for n in ("node", "dim", "lo", "hi", "base", "goal")])
-_CUT = T.StructType([T.StructField(n, T.LongType()) for n in ("node", "dim", "at", "tie_at", "keep")])
+
+def _nodes(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A broadcast table of whole numbers, one row a node, made without a Python worker."""
+    values = ", ".join("(" + ", ".join(f"{int(v)}L" for v in r) + ")" for r in rows)
+    table = f"SELECT * FROM VALUES {values} AS t({names})" if rows else "SELECT " + ", ".join(f"0L AS {n.strip()}" for n in names.split(",")) + " WHERE false"
+    return F.broadcast(spark.sql(table))
 
 
 def _code(docs: DataFrame, name: str) -> Column:
@@ -44,7 +48,7 @@ def _refine(rows: DataFrame, key: str, state: list[tuple], bins: int) -> dict[in
     """For each node the key value at which the running weight reaches the goal: node -> (value, weight below, its weight)."""
     spark, done, open_ = rows.sparkSession, {}, list(state)
     while open_:
-        s = F.broadcast(spark.createDataFrame(open_, _STATE).drop("dim"))
+        s = _nodes(spark, open_, "node, lo, hi, base, goal")
         width = F.expr("(hi - lo) div %d + 1" % bins)
         inside = rows.join(s, "node").where(f"{key} between lo and hi").withColumn("width", width).withColumn("bin", F.expr(f"({key} - lo) div width"))
         binned = inside.groupBy("node", "base", "goal", "bin").agg(F.sum("w").alias("w"), F.min(key).alias("low"), F.max(key).alias("high"))
@@ -56,7 +60,7 @@ def _refine(rows: DataFrame, key: str, state: list[tuple], bins: int) -> dict[in
             if r["low"] == r["high"]:
                 done[r["node"]] = (r["low"], r["upto"] - r["w"], r["w"])
             else:
-                open_.append((r["node"], 0, r["low"], r["high"], r["upto"] - r["w"], r["goal"]))
+                open_.append((r["node"], r["low"], r["high"], r["upto"] - r["w"], r["goal"]))
     return done
 
 
@@ -72,22 +76,22 @@ def _split(rows: DataFrame, leaves: dict[int, int], n_dims: int, extent: list[tu
             spread = [(r[f"hi{i}"] - r[f"lo{i}"]) / max(extent[i][1] - extent[i][0], 1) for i in range(n_dims)]
             dim = max(range(n_dims), key=lambda i: (spread[i], -i))
             goal = max(1, round(r["w"] * (n // 2) / n))
-            state.append((node, dim, r[f"lo{dim}"], r[f"hi{dim}"], 0, goal))
-    chosen = F.broadcast(spark.createDataFrame([(s[0], s[1]) for s in state], "node long, dim long"))
+            state.append((node, dim, r[f"lo{dim}"], r[f"hi{dim}"], goal))
+    chosen = _nodes(spark, [s[:2] for s in state], "node, dim")
     keyed = rows.join(chosen, "node").withColumn("key", _key(n_dims))
-    found = _refine(keyed, "key", state, bins)
+    found = _refine(keyed, "key", [(n, lo, hi, 0, goal) for n, _, lo, hi, goal in state], bins)
     # Rows that share the value at the cut: the same search over their tie hash.
-    at = F.broadcast(spark.createDataFrame([(n, v[0]) for n, v in found.items()], "node long, at long"))
+    at = _nodes(spark, [(n, v[0]) for n, v in found.items()], "node, at")
     ties = keyed.join(at, "node").where("key = at")
     span = {r["node"]: r for r in ties.groupBy("node").agg(F.min("tie").alias("lo"), F.max("tie").alias("hi")).collect()}
     goals = {s[0]: s for s in state}
-    tie_at = _refine(ties.select("node", "tie", "w"), "tie", [(n, 0, span[n]["lo"], span[n]["hi"], v[1], goals[n][5]) for n, v in found.items()], bins)
+    tie_at = _refine(ties.select("node", "tie", "w"), "tie", [(n, span[n]["lo"], span[n]["hi"], v[1], goals[n][4]) for n, v in found.items()], bins)
     cuts = []
     for node, (value, _, _) in found.items():
         tie, below, weight = tie_at[node]
-        goal = goals[node][5]
+        goal = goals[node][4]
         cuts.append((node, goals[node][1], value, tie, int(abs(below + weight - goal) <= abs(below - goal))))
-    cut = F.broadcast(spark.createDataFrame(cuts, _CUT))
+    cut = _nodes(spark, cuts, "node, dim, at, tie_at, keep")
     left = (F.col("key") < F.col("at")) | ((F.col("key") == F.col("at")) & ((F.col("tie") < F.col("tie_at")) | ((F.col("tie") == F.col("tie_at")) & (F.col("keep") == 1))))
     moved = rows.join(cut, "node", "left").withColumn("key", _key(n_dims))
     child = F.when(F.col("at").isNull(), F.col("node") * 2).otherwise(F.col("node") * 2 + F.when(left, 0).otherwise(1))
