@@ -84,7 +84,7 @@ def test_secrets(spark, documents, odd):
             assert set(r["base"].split(",")) - {""} <= set(r["spans"].split(","))
             starts = [int(s.split(":")[1]) for s in r["spans"].split(",") if s]
             assert starts == sorted(starts)
-    found = {r["doc_id"]: r["n_random"] for r in secret_scan.scan(planted).collect()}
+    found = {r["doc_id"]: r["n_random"] for r in secret_scan.scan(planted.union(documents.select(F.col("doc_id") + 1000, "text"))).collect()}
     assert sum(found[100 + i] for i in range(30)) >= 25 and found[200] == 0
     assert secret_scan.scan(odd.where("false")).count() == 0
     assert sum(r["n_random"] for r in secret_scan.scan(documents).collect()) <= 2
@@ -103,7 +103,9 @@ def test_redact(spark, odd):
 def test_bpe(documents, odd, params):
     enc = byte_bpe.encoding(byte_bpe.RANKS)
     for df in (documents, odd):
-        both = byte_bpe.decode(byte_bpe.encode(df, **params)).collect()
+        both = byte_bpe.encode(df, decoded=True, **params).collect()
+        apart = byte_bpe.decode(byte_bpe.encode(df, **params)).collect()
+        assert sorted(map(repr, both)) == sorted(map(repr, apart))
         want = sorted((r["doc_id"] or 0, enc.encode_ordinary(r["text"] or "")) for r in df.collect())
         assert sorted((r["doc_id"] or 0, np.frombuffer(r["ids"], "<u4").tolist()) for r in both) == want
         texts = defaultdict(set)
