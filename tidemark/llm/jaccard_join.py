@@ -25,6 +25,8 @@ result; columns other than the id and text columns are ignored, whatever their n
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,34 +35,100 @@ from pyspark.sql import functions as F
 
 from .common import components, maybe_broadcast, stage
 
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+_U = np.uint64
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=_U)
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+#: A random number for each byte, the same for both cases of A-Z.
+_BYTE = np.random.default_rng(20240301).integers(1, 2**64 - 1, 256, dtype=_U, endpoint=True)
+_BYTE[65:91] = _BYTE[97:123]
+_BASE = 0xD6E8FEB86659FD93
+_SEGMENT = 1 << 20
+_SPACE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
+_POWERS = [np.ones(1, _U), np.ones(1, _U)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(n, base, _U)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _U(32))) * _ODD[5]
+    return h ^ (h >> _U(29))
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes start, and their hashes: polynomials, read off the running sum over all bytes."""
+    raw = np.frombuffer(data, np.uint8)
+    edges = np.flatnonzero(np.diff((~_BLANK[raw]).astype(np.int8), prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, _U)
+    np.cumsum(_BYTE[raw] * power[: len(raw)], out=sums[1:])
+    return starts, _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U) * _ODD[4])
+
+
+def _segments(text: bytes):
+    """A long text in segments that end at white space."""
+    at = 0
+    while len(text) - at > _SEGMENT:
+        cut = _SPACE_BYTE.search(text, at + _SEGMENT)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def _set(w: np.ndarray, width: int) -> np.ndarray:
+    if len(w) < width:
+        if not len(w):
+            return np.empty(0, np.int64)
+        whole = _U(len(w))
+        for x in w:  # fewer words than a shingle has
+            whole = (whole * _ODD[1] + x) ^ (whole >> _U(31))
+        return _mix(np.array([whole], _U)).view(np.int64)
+    n = len(w) - width + 1
+    h = w[:n] * _ODD[0]
+    for k in range(1, width):
+        h = (h ^ (h >> _U(29))) * _ODD[k % 5] + w[k : k + n]
+    h = np.sort(_mix(h).view(np.int64))
+    new = np.ones(n, bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h[new]
 
 
-_HASHES = _WordHashes()
+def shingle_sets(texts: list[bytes | None], width: int = 5):
+    """For each text the sorted 64-bit hashes of its distinct shingles; a text of fewer words is one shingle."""
+    with np.errstate(over="ignore"):
+        held, size = [], 0
+        for text in [*texts, None]:
+            text = text or b""
+            if len(text) > _SEGMENT or size + len(text) > _SEGMENT:
+                yield from _sets_of(held, width)
+                held, size = [], 0
+            if len(text) > _SEGMENT:
+                yield _set(np.concatenate([_word_hashes(s)[1] for s in _segments(text)]), width)
+            else:
+                held.append(text)
+                size += len(text) + 1
+        yield from _sets_of(held[:-1], width)
+
+
+def _sets_of(texts: list[bytes], width: int):
+    if texts:
+        starts, words = _word_hashes(b"\n".join(texts))
+        edges = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts]))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield _set(words[a:b], width)
 
 
 def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text; a text of fewer words is one shingle."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.int64)
-    if len(words) < width:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64).view(np.int64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = len(w) - width + 1
-    h = w[:n] * _ODD[0]
-    for k in range(1, width):
-        h = (h ^ (h >> np.uint64(29))) * _ODD[k] + w[k : k + n]
-    h = (h ^ (h >> np.uint64(32))) * _ODD[5]
-    return np.unique((h ^ (h >> np.uint64(29))).view(np.int64))
+    return next(iter(shingle_sets([text], width)))
 
 
 def _common(width: int, block: int, least: int):
@@ -73,9 +141,9 @@ def _common(width: int, block: int, least: int):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(shingles(text, width))
-                size += len(held[-1])
+            for found in shingle_sets(batch.column(0).to_pylist(), width):
+                held.append(found)
+                size += len(found)
                 if size >= block:
                     yield count(held)
                     held, size = [], 0
@@ -94,8 +162,7 @@ def _prefixes(width: int, hot: np.ndarray, hot_n: np.ndarray, percent: int):
         rid = TaskContext.get().partitionId() << 36
         for batch in batches:
             rids, ns, digests, prefixes = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                h = shingles(text, width)
+            for h in shingle_sets(batch.column(1).to_pylist(), width):
                 n = len(h)
                 p = n - (percent * n + 99) // 100 + 1 if n else 0
                 first = h
@@ -118,12 +185,18 @@ def _prefixes(width: int, hot: np.ndarray, hot_n: np.ndarray, percent: int):
 
 
 def _full(width: int):
+    """The set of each text that has the expected digest (another row of the same id may have another text)."""
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                sets = [shingles(t, width) for t in batch.column(0).slice(at, 500).to_pylist()]
-                digests = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["digest", "set"])
+                part = batch.slice(at, 500)
+                rids, sets = [], []
+                for rid, digest, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), shingle_sets(part.column(2).to_pylist(), width)):
+                    if xxhash.xxh3_128_digest(h.tobytes()) == digest:
+                        rids.append(rid)
+                        sets.append(h)
+                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rid", "set"])
 
     return run
 
@@ -137,7 +210,8 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = pairs.join(sets.select(F.col("rid").alias("a"), F.col("set").alias("sa")), "a")
     two = one.join(sets.select(F.col("rid").alias("b"), F.col("set").alias("sb")), "b")
     both = two.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
-    return both.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u"), (1 - F.col("i") / (F.col("t") - F.col("i"))).alias("d"))
+    # Repeated rows give a set more than once.
+    return both.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u"), (1 - F.col("i") / (F.col("t") - F.col("i"))).alias("d")).dropDuplicates(["a", "b"])
 
 
 def jaccard_components(
@@ -184,12 +258,6 @@ def jaccard_components(
     sizes = stage(region.groupBy("s").agg(F.count("*").alias("c"), F.count_if("small").alias("k")).where("c > 1 and k > 0").select("s", "c"), "region_sizes")
     region = stage(region.join(sizes, "s"), "region")
 
-    members = region.select("rid").distinct().join(classes.select("rid", "low", "digest"), "rid")
-    members = stage(members.select("rid", F.col("low").alias("_low"), "digest"), "members")
-    mine = texts.join(maybe_broadcast(members.select("_low").distinct(), broadcast_rows), F.col("doc_id").eqNullSafe(F.col("_low")), "left_semi")
-    sets = mine.select("text").mapInArrow(_full(width), "digest binary, set array<long>")
-    sets = stage(sets.join(members.select("rid", "digest"), "digest").groupBy("rid").agg(F.first("set").alias("set")), "sets")
-
     def pairs_of(left: DataFrame, right: DataFrame, on: list[str], extra: Column | None = None) -> DataFrame:
         """Distinct pairs a < b that meet in a region, fit in size and place, and of which the smaller one is small there."""
         l, r = left.alias("l"), right.alias("r")
@@ -200,12 +268,19 @@ def jaccard_components(
             fit = fit & (F.col(f"l.{c}") == F.col(f"r.{c}"))
         return l.join(r, fit if extra is None else fit & extra).select(F.col("l.rid").alias("a"), F.col("r.rid").alias("b")).distinct()
 
+    leaves, big = region.where(F.col("c") <= leaf), region.where(F.col("c") > leaf).drop("c")
+    near_pairs = stage(pairs_of(leaves, leaves, ["s"]), "leaf_pairs")
+    # Only documents that meet a possible partner have their sets made and moved.
+    members = near_pairs.select(F.col("a").alias("rid")).union(near_pairs.select(F.col("b").alias("rid"))).union(big.select("rid")).distinct()
+    members = stage(members.join(classes.select("rid", "low", "digest"), "rid").select("rid", "digest", F.col("low").alias("_low")), "members")
+    mine = texts.join(maybe_broadcast(members, broadcast_rows // 4), F.col("doc_id").eqNullSafe(F.col("_low"))).select("rid", "digest", "text")
+    sets = stage(mine.mapInArrow(_full(width), "rid long, set array<long>"), "sets", compression="none")
+
     linked = 100 * F.col("i") >= percent * F.col("u")
-    leaves = region.where(F.col("c") <= leaf)
-    links = [stage(_measure(pairs_of(leaves, leaves, ["s"]), sets).where(linked).select("a", "b"), "links")]
+    links = [stage(_measure(near_pairs, sets).where(linked).select("a", "b"), "links")]
 
     # Second level: cells of document pivots.
-    rest = region.where(F.col("c") > leaf).drop("c")
+    rest = big
     for _ in range(rounds):
         rest = stage(rest, "rest")
         if rest.isEmpty():
