@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,17 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 _DISCOUNT = 0.75
 
 
-def words(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+@lru_cache(maxsize=8)
+def _heads(depth: int) -> re.Pattern:
+    return re.compile(r"([^\W\d_]{1,%d})[^\W\d_]*" % (depth + 1))
+
+
+def words(text: str | None, depth: int) -> list[str]:
+    """Words, of longer ones the first ``depth`` + 1 letters: no more is looked at."""
+    return _heads(depth).findall((text or "").lower())
 
 
 class WordEvidence(dict):
@@ -42,6 +48,7 @@ class WordEvidence(dict):
     def __init__(self, counts: dict[str, tuple[int, int]], depth: int, most: int = 400_000):
         super().__init__()
         self.counts, self.depth, self.most = counts, depth, most
+        self.sums: dict[str, float] = {}
         #: Of each beginning: what follows it and in how many kinds, by class and in both.
         self.follow: dict[str, list[int]] = {}
         pairs: Counter = Counter()
@@ -63,26 +70,28 @@ class WordEvidence(dict):
         toxic, plain = self.counts.get(begin, (0, 0))
         return (max(toxic + plain - _DISCOUNT, 0) + _DISCOUNT * f[5] * low) / f[2]
 
+    def _step(self, begin: str) -> float:
+        """What the last letter of a beginning adds."""
+        f = self.follow.get(begin[:-1])
+        if f is None:
+            return 0.0  # neither class knows what stands before: both back off alike
+        shared, own = self._shared(begin), self.counts.get(begin, (0, 0))
+        toxic, plain = ((max(own[i] - _DISCOUNT, 0) + _DISCOUNT * f[3 + i] * shared) / f[i] if f[i] else shared for i in (0, 1))
+        return math.log(toxic / plain)
+
+    def _upto(self, begin: str) -> float:
+        if len(begin) < 2:
+            return 0.0
+        known = self.sums.get(begin)
+        if known is None:
+            self.sums[begin] = known = self._upto(begin[:-1]) + self._step(begin)
+        return known
+
     def __missing__(self, word: str) -> float:
         if len(self) > self.most:
             self.clear()
-        total, marked = 0.0, f"^{word}$"
-        for end in range(2, min(len(marked), self.depth + 1) + 1):
-            begin = marked[:end]
-            f = self.follow.get(begin[:-1])
-            if f is None:
-                break  # neither class knows it: both back off alike from here on
-            if f[0] and f[1]:
-                shared, own = self._shared(begin), self.counts.get(begin, (0, 0))
-                toxic, plain = ((max(own[i] - _DISCOUNT, 0) + _DISCOUNT * f[3 + i] * shared) / f[i] for i in (0, 1))
-                total += math.log(toxic / plain)
-            else:
-                # Known to one class only: the other has nothing but the shared counts.
-                shared, own = self._shared(begin), self.counts.get(begin, (0, 0))
-                i = 0 if f[0] else 1
-                seen = (max(own[i] - _DISCOUNT, 0) + _DISCOUNT * f[3 + i] * shared) / f[i]
-                total += math.log(seen / shared) * (1 if i == 0 else -1)
-        self[word] = total
+            self.sums.clear()
+        self[word] = total = self._upto(f"^{word}$"[: self.depth + 1])
         return total
 
 
@@ -91,7 +100,7 @@ def _beginnings(depth: int):
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, n in Counter(words(text)).items():
+                for word, n in Counter(words(text, depth)).items():
                     marked = f"^{word}$"
                     for end in range(2, min(len(marked), depth + 1) + 1):
                         counts.setdefault(marked[:end], [0, 0])[0 if toxic else 1] += n
@@ -111,7 +120,7 @@ def _evidence(counts, depth: int, window: int):
         for batch in batches:
             means, peaks = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                ws = words(text)
+                ws = words(text, depth)
                 if not ws:
                     means.append(0.0)
                     peaks.append(0.0)
