@@ -116,3 +116,117 @@ def test_dataset_namespaces_and_history(spark, tmp_path):
     assert {r.k: r.v for r in prod.read("t", version=1).collect()} == {1: "a"}
     assert {r.k: r.v for r in prod.read("t").collect()} == {1: "b", 2: "c"}
     assert not dev.exists("t")
+
+
+# -- the store under failures, races and changing layouts ------------------------------------------
+
+
+def _keys(store, table):
+    return sorted(tuple(r) for r in store.read(table).collect())
+
+
+def _pairs(spark, rows, names="id long, v string"):
+    return spark.createDataFrame(rows, names)
+
+
+def test_failed_write_can_be_retried(spark, store):
+    bad = _pairs(spark, [(1, "a")]).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    for write in (lambda d: store.replace("t", d), lambda d: store.merge("t", d, ["id"])):
+        with pytest.raises(Exception, match="broken"):
+            write(bad)
+        write(_pairs(spark, [(1, "a")]))
+    assert _keys(store, "t") == [(1, "a")]
+
+
+def test_driver_lost_before_commit(spark, store, monkeypatch):
+    store.merge("t", _pairs(spark, [(1, "a")]), ["id"], batch_id="b1")
+    monkeypatch.setattr(type(store), "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        store.merge("t", _pairs(spark, [(1, "b"), (2, "b")]), ["id"], batch_id="b2")
+    monkeypatch.undo()
+    assert _keys(store, "t") == [(1, "a")]
+    store.merge("t", _pairs(spark, [(1, "b"), (2, "b")]), ["id"], batch_id="b2")
+    assert _keys(store, "t") == [(1, "b"), (2, "b")]
+    assert len(store.vacuum("t", retain=1)) == 2 and _keys(store, "t") == [(1, "b"), (2, "b")]
+
+
+def test_layout_is_the_tables_own(spark, store):
+    from tidemark.sources.store import TableStore
+
+    rows = [(i, "a") for i in range(100)]
+    store.merge("t", _pairs(spark, rows), ["id"])
+    other = TableStore(spark, store.root, buckets=16)
+    other.merge("t", _pairs(spark, [(i, "b") for i in range(3)] + [(500, "b")]), ["id"])
+    assert _keys(other, "t") == [(i, "b" if i < 3 else "a") for i in range(100)] + [(500, "b")]
+
+
+def test_recent_ids_touch_few_buckets(spark, tmp_path):
+    from tidemark.sources.store import TableStore
+
+    store = TableStore(spark, str(tmp_path / "s"), buckets=32)
+    store.merge("t", _pairs(spark, [(i, "a") for i in range(3200)]), ["id"])
+    before = set(store.commit_info("t")["paths"])
+    store.merge("t", _pairs(spark, [(i, "b") for i in range(3150, 3250)]), ["id"])
+    after = set(store.commit_info("t")["paths"])
+    assert len(before - after) <= 2 and len(before & after) >= 30
+    plan = store.read("t")._jdf.queryExecution().toString()
+    assert "Aggregate" not in plan
+
+
+def test_merge_after_replace_and_append(spark, store):
+    store.replace("t", _pairs(spark, [(1, "a"), (2, "a")]))
+    store.merge("t", _pairs(spark, [(2, "b"), (3, "b")]), ["id"])
+    store.append("t", _pairs(spark, [(4, "c")]))
+    r = store.merge("t", _pairs(spark, [(4, "d")]), ["id"])
+    assert _keys(store, "t") == [(1, "a"), (2, "b"), (3, "b"), (4, "d")] and (r.inserted, r.updated) == (0, 1)
+
+
+def test_lost_marker(spark, store):
+    for batch in ("a", "b", "a"):
+        store.append("t", _pairs(spark, [(1, batch)]), batch_id=batch)
+        store.fs.delete(f"{store.root}/t/_batches")
+    assert _keys(store, "t") == [(1, "a"), (1, "b")]
+
+
+def test_two_writers(spark, store):
+    from tidemark.sources.store import TableStore
+
+    other, real = TableStore(spark, store.root, buckets=4), store._write
+    store.merge("t", _pairs(spark, [(1, "a")]), ["id"])
+    raced = []
+
+    def write(df, path, by_bucket):
+        real(df, path, by_bucket)
+        if not raced:
+            raced.append(other.merge("t", _pairs(spark, [(2, "other")]), ["id"]))
+
+    store._write = write
+    store.merge("t", _pairs(spark, [(3, "mine")]), ["id"])
+    assert _keys(store, "t") == [(1, "a"), (2, "other"), (3, "mine")]
+
+
+def test_null_keys_are_rejected_and_counted(spark, store):
+    r = store.merge("t", _pairs(spark, [(None, "x"), (None, "y"), (1, "a")]), ["id"])
+    assert (r.rows_in, r.inserted, r.rejected) == (3, 1, 2) and _keys(store, "t") == [(1, "a")]
+    assert sorted(x["row"] for x in store.read("_rejects").collect()) == ['{"v":"x"}', '{"v":"y"}']
+
+
+def test_older_redelivery_keeps_newer_row(spark, store):
+    names = "id long, at int"
+    store.merge("t", _pairs(spark, [(1, 5), (2, 5)], names), ["id"], prefer=[F.col("at")], keep_newer=True)
+    r = store.merge("t", _pairs(spark, [(1, 4), (2, 6)], names), ["id"], prefer=[F.col("at")], keep_newer=True)
+    assert _keys(store, "t") == [(1, 5), (2, 6)] and (r.inserted, r.updated) == (0, 1)
+
+
+def test_new_columns_stay(spark, store):
+    store.merge("t", _pairs(spark, [(i, "a") for i in range(8)]), ["id"])
+    store.merge("t", _pairs(spark, [(1, "b", 7)], "id long, v string, extra int"), ["id"])
+    store.merge("t", _pairs(spark, [(2, "c")]), ["id"])
+    assert {r["id"]: (r["v"], r["extra"]) for r in store.read("t").collect()}[1] == ("b", 7) and store.read("t").count() == 8
+
+
+def test_nodes_without_id_are_not_merged_together(spark):
+    from tidemark.plans.jobs import latest_nodes
+
+    nodes = spark.createDataFrame([("gid://s/Order/1", "2024-01-01T00:00:00Z"), ("bad", "2024-01-01T00:00:00Z"), ("worse", None)], "id string, updatedAt string")
+    assert sorted(r["id"] for r in latest_nodes(nodes).collect()) == ["bad", "gid://s/Order/1", "worse"]

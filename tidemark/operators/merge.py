@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, ArrayType, DataType
+from pyspark.sql.window import Window
 
 
 def _c(name: str) -> Column:
@@ -30,16 +31,16 @@ def _orderable(t: DataType) -> bool:
 def dedupe_by_pk(df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
     """One row per primary key: greatest ``prefer`` tuple, then greatest full row (fully deterministic).
 
-    Uses a ``max_by`` aggregate (partial aggregation before the shuffle), so duplicate-heavy keys are
-    combined map-side.
+    A first-row window: Spark keeps one row of a key in each map task before the shuffle (window group limit), so
+    duplicate-heavy keys are reduced there, and rows are carried once.
     """
     rest = [c for c in df.columns if c not in pk]
     if not rest:
         return df.dropDuplicates(list(pk))
     tie = [_c(c) for c in rest if _orderable(df.schema[c].dataType)]
-    order = F.struct(*prefer, *tie) if (prefer or tie) else F.struct(F.lit(0))
-    winner = F.max_by(F.struct(*[_c(c) for c in rest]), order)
-    return df.groupBy(*[_c(k) for k in pk]).agg(winner.alias("__w")).select(*[_c(k) for k in pk], "__w.*")
+    order = [c.desc() for c in (*prefer, *tie)] or [F.lit(0)]
+    first = F.row_number().over(Window.partitionBy(*[_c(k) for k in pk]).orderBy(*order))
+    return df.withColumn("__nth", first).where("__nth = 1").select(*[_c(k) for k in pk], *[_c(c) for c in rest])
 
 
 def upsert(target: DataFrame, source: DataFrame, pk: Sequence[str], dedupe: bool = True,

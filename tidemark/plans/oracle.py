@@ -22,12 +22,14 @@ def _ts(dt) -> str:
 
 
 def _latest(where: str = "") -> str:
-    return (f"SELECT user_id AS gid, ts AS updated_at, event_id FROM (SELECT *, row_number() OVER "
+    return (f"SELECT user_id AS gid, ts AS updated_at, event_id, event_type FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY user_id ORDER BY ts DESC, event_id ASC) AS rn FROM events {where}) WHERE rn = 1")
 
 
-MANIFEST = _latest(f"WHERE ts < TIMESTAMP '{QY.MANIFEST_CUT}'")
 SNAP = _latest()
+MANIFEST = (f"SELECT gid, updated_at FROM ({SNAP}) WHERE event_type = 'purchase' UNION ALL SELECT gid, updated_at FROM ("
+            + _latest(f"WHERE ts < TIMESTAMP '{QY.MANIFEST_CUT}'")
+            + f") WHERE gid NOT IN (SELECT gid FROM ({SNAP}) WHERE event_type IN ('purchase', 'signup'))")
 CHANGED = (f"SELECT s.gid, s.updated_at FROM ({SNAP}) s WHERE NOT EXISTS (SELECT 1 FROM ({MANIFEST}) m "
            "WHERE m.gid = s.gid AND m.updated_at = s.updated_at)")
 
@@ -282,14 +284,14 @@ SQL: dict[str, str] = {
         GROUP BY 1 HAVING count(*) > 5""",
     "fk_orphans": """
         SELECT 'order__line_items.order_id->order' AS relation, count(*) AS n_children,
-               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)) AS n_orphans
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_totalprice >= 10000)) AS n_orphans
         FROM lineitem
         UNION ALL
         SELECT 'order__refunds.order_id->order', count(*),
-               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey))
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_totalprice >= 10000))
         FROM lineitem WHERE l_returnflag = 'R'
         UNION ALL
-        SELECT 'order__refunds__refund_line_items.line_item__id->order__line_items', count(*), 0
+        SELECT 'order__refunds__refund_line_items.line_item__id->order__line_items', count(*), count(*) FILTER (WHERE l_quantity < 5)
         FROM lineitem WHERE l_returnflag = 'R'
         UNION ALL
         SELECT 'order.customer__id->customer', count(*),

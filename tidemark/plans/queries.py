@@ -33,13 +33,13 @@ from . import resources as R
 SHOP_ID = 1
 HMAC_TEST_KEY = "tidemark-test-key"
 MANIFEST_CUT = "2024-01-20 00:00:00"      # manifest = state of a load that ran at this instant
-PRUNE_START = "2024-01-10 00:00:00"
+PRUNE_START = MANIFEST_CUT
 MERGE_CUT = datetime(1998, 1, 1)
 CHUNK_START = datetime(1995, 1, 1)
 CHUNK_END = datetime(1999, 1, 1)
 BACKFILL_FIRST = datetime(1996, 3, 1)
 BACKFILL_LAST = datetime(1996, 3, 31)
-FRESHNESS_NOW = datetime(2024, 1, 31)
+FRESHNESS_NOW = datetime(2024, 1, 31, 8)
 # Test mapping of event types onto resources for the freshness report.
 EVENT_RESOURCE = {"view": "orders", "click": "customers", "purchase": "products", "signup": "collections",
                   "error": "shop"}
@@ -59,10 +59,12 @@ def _ntz(c: Column | str) -> Column:
 
 def _order_tables(spark: SparkSession, sf: str, shared: bool = False) -> dict[str, DataFrame]:
     """The 12 order tables. ``shared``: the caller reads several of them, so the nested orders are built
-    once and cut with a reliable checkpoint instead of being rebuilt per table."""
+    once and written as Parquet, of which each table reads only its own lists."""
     nodes = feeds.order_nodes(spark, sf)
     if shared:
-        nodes = nodes.checkpoint(eager=True)
+        path = scratch_path(spark, "order_nodes")
+        nodes.write.parquet(path)
+        nodes = spark.read.schema(nodes.schema).parquet(path)
     return R.order_tables(nodes, SHOP_ID)
 
 
@@ -437,8 +439,13 @@ def _snapshots(spark, sf) -> DataFrame:
 
 
 def _manifest(spark, sf) -> DataFrame:
-    s = _snapshots(spark, sf)
-    return _latest(s.where(F.col("updated_at") < F.lit(MANIFEST_CUT).cast("timestamp_ntz"))).select("gid", "updated_at")
+    """What earlier runs left: users whose latest event is a purchase are up to date, those whose latest is a signup
+    were never loaded, all others stand as of MANIFEST_CUT."""
+    e = feeds.load(spark, sf, "events").select(F.col("user_id").alias("gid"), F.col("ts").alias("updated_at"), "event_id", "event_type")
+    now, old = _latest(e), _latest(e.where(F.col("updated_at") < F.lit(MANIFEST_CUT).cast("timestamp_ntz")))
+    other = now.where(F.col("event_type").isin("purchase", "signup")).select("gid")
+    current = now.where(F.col("event_type") == "purchase")
+    return current.unionByName(old.join(other, "gid", "left_anti")).select("gid", "updated_at")
 
 
 def _changed(spark, sf) -> DataFrame:
@@ -542,13 +549,15 @@ def two_phase_replay(spark, sf):
 def fk_orphans(spark, sf):
     _ctx(spark)
     t = _order_tables(spark, sf, shared=True)
+    # Some parents have been archived: their children are orphans.
+    orders, lines = t["order"].where("total_price >= 10000"), t["order__line_items"].where("quantity >= 5")
     cust = R.customer_tables(R.normalize_customers(feeds.customer_nodes(spark, sf), SHOP_ID))["customer"]
     prod = R.product_tables(R.normalize_products(feeds.product_nodes(spark, sf), SHOP_ID))["product"]
     return Q.orphan_summary([
-        ("order__line_items.order_id->order", t["order__line_items"], t["order"], ["order_id"], ["id"]),
-        ("order__refunds.order_id->order", t["order__refunds"], t["order"], ["order_id"], ["id"]),
+        ("order__line_items.order_id->order", t["order__line_items"], orders, ["order_id"], ["id"]),
+        ("order__refunds.order_id->order", t["order__refunds"], orders, ["order_id"], ["id"]),
         ("order__refunds__refund_line_items.line_item__id->order__line_items",
-         t["order__refunds__refund_line_items"], t["order__line_items"], ["line_item__id"], ["id"]),
+         t["order__refunds__refund_line_items"], lines, ["line_item__id"], ["id"]),
         ("order.customer__id->customer", t["order"], cust, ["customer__id"], ["id"]),
         ("order__line_items.product__id->product", t["order__line_items"], prod, ["product__id"], ["id"]),
     ])
@@ -631,7 +640,7 @@ def stream_dedup(spark, sf):
     store = _store(spark)
     redelivered = _event_stream(spark, sf).unionByName(_event_stream(spark, sf))
     ST.stream_dedup(redelivered.select("event_id", "user_id", "ts", "event_type"), store, "events", ["event_id"],
-                    "ts", "1 day", scratch_path(spark, "ckpt"))
+                    scratch_path(spark, "ckpt"))
     return store.read("events")
 
 

@@ -44,10 +44,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     * A reliable checkpoint directory: taken from the session; a local folder only if none is set.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
+    if hasattr(spark, "_jsparkSession"):  # without a classic SparkContext (Spark Connect) the server's settings decide
         checkpoint_dir(spark)
-    except Exception:  # noqa: BLE001 - no classic SparkContext (e.g. Spark Connect): server config decides
-        pass
     return spark
 
 
@@ -63,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset conf raises
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Unset only in tests / local runs: use a private local folder for this JVM.
         key = sc.applicationId
         if key not in _LOCAL_FALLBACK:

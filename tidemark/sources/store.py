@@ -2,18 +2,20 @@
 
 Layout of one table::
 
-    <root>/<table>/v=<N>/bucket=<b>/part-*.parquet     data written by commit N
-    <root>/<table>/_log/<N>.json                        commit N: live data paths, pk, batch id, counts
-
-* A table is the set of paths named by its newest commit file. Data of a commit is written first, the
-  commit file last (create-if-absent), so a failed or retried job leaves the previous version intact and
-  readers never see partial output. Task retries after executor loss are handled by Spark's committer.
-* ``merge`` hashes the primary key into ``buckets`` buckets and rewrites only the buckets the delta
-  touches: the cost of a merge follows the delta, not the table. Live rows of the touched buckets and
-  the delta meet in one key aggregation (no join), which combines map-side before its shuffle.
-* ``batch_id`` makes a merge idempotent: replaying a streaming micro-batch that already committed is a
-  no-op.
-* Writes are ``rebalance``d on the bucket so one bucket can span several tasks when it is large.
+    <root>/<table>/v=<N>-<attempt>-<batch>/bucket=<b>/part-*.parquet   data written by one attempt at commit N
+    <root>/<table>/_log/<N>.json                                        commit N: live data paths, layout, counts
+
+* A table is the set of paths named by its newest commit file. Data is written first, into a folder that no other
+  attempt uses, the commit file last (create-if-absent). A job that fails before its commit leaves the previous
+  version as it was and one folder that nothing names (``vacuum`` removes it); the retry writes a folder of its own.
+* Two writers can't commit the same version: the second one's commit fails, and it merges again on top of the first.
+* ``merge`` buckets rows by ranges of the leading key column if that is a whole number (ids grow with time, so recent
+  changes share few buckets, and new ids open new ones), else by hash. The layout is decided by the first merge and
+  kept in the commit. A merge rewrites the buckets that hold a key of the delta, no others; live rows are only
+  filtered against the delta's keys, never sorted.
+* ``batch_id`` makes a write idempotent: its digest is part of the folder's name, so an applied batch is found by one
+  listing even if its marker is lost.
+* Rows with a NULL in the primary key go to the table ``_rejects``, counted, instead of the merge.
 """
 
 from __future__ import annotations
@@ -25,12 +27,18 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import _orderable
+from ..operators.merge import dedupe_by_pk
 
 BUCKET_COL = "__bucket"
+REJECTS = "_rejects"
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed this version first."""
 
 
 @dataclass
@@ -41,6 +49,8 @@ class MergeResult:
     inserted: int
     updated: int
     skipped: bool = False
+    deleted: int = 0
+    rejected: int = 0
 
 
 class _FS:
@@ -65,14 +75,17 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self._fs(p).listStatus(self._path(p))]
 
-    def write_new(self, p: str, text: str) -> None:
-        """Create ``p`` only if absent (fails if another writer committed first)."""
-        out = self._fs(p).create(self._path(p), False)
+    def write_new(self, p: str, text: str, overwrite: bool = False) -> None:
+        """Create ``p``; unless ``overwrite``, only if absent."""
+        out = self._fs(p).create(self._path(p), overwrite)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
 
+    def delete(self, p: str) -> None:
+        self._fs(p).delete(self._path(p), True)
+
     def read_text(self, p: str) -> str:
         stream = self._fs(p).open(self._path(p))
         try:
@@ -124,15 +137,27 @@ class TableStore:
     def history(self, table: str) -> list[dict]:
         return [self.commit_info(table, v) for v in self._log(table)]
 
+    @staticmethod
+    def _digest(batch_id: str | None) -> str:
+        return hashlib.sha1(batch_id.encode("utf-8")).hexdigest()[:20] if batch_id else "x"
+
     def _marker(self, table: str, batch_id: str) -> str:
-        return f"{self._tdir(table)}/_batches/{hashlib.sha1(batch_id.encode('utf-8')).hexdigest()}"
+        return f"{self._tdir(table)}/_batches/{self._digest(batch_id)}"
 
     def _commit(self, table: str, info: dict) -> None:
         info = {**info, "committed_at": time.time()}
-        self.fs.write_new(f"{self._tdir(table)}/_log/{info['version']}.json", json.dumps(info, sort_keys=True))
-        if info.get("batch_id"):
-            # O(1) replay lookup; written after the commit, so a crash in between only costs a log scan.
-            self.fs.write_new(self._marker(table, info["batch_id"]), str(info["version"]))
+        path = f"{self._tdir(table)}/_log/{info['version']}.json"
+        if info.get("batch_id"):  # names the commit to look at; says nothing until that commit holds this batch
+            self.fs.write_new(self._marker(table, info["batch_id"]), str(info["version"]), overwrite=True)
+        try:
+            self.fs.write_new(path, json.dumps(info, sort_keys=True))
+        except Exception as e:  # the only way to see a lost race; anything else is raised as it is
+            if self.fs.exists(path):
+                raise CommitConflict(f"{table}: version {info['version']} was committed by another writer") from e
+            raise
+
+    def _folder(self, version: int, batch_id: str | None) -> str:
+        return f"v={version}-{uuid.uuid4().hex[:8]}-{self._digest(batch_id)}"
 
     def exists(self, table: str) -> bool:
         return bool(self._log(table))
@@ -154,174 +179,186 @@ class TableStore:
 
     # -- writes -------------------------------------------------------------------------------------
 
-    def _bucket(self, pk: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in pk]), F.lit(self.buckets)).cast("int")
+    def _bucket(self, layout: dict) -> Column:
+        if layout["kind"] == "range":
+            lead = F.col(f"`{layout['pk'][0]}`").cast("long")
+            return F.floor(lead / F.lit(layout["width"])).cast("long")
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in layout["pk"]]), F.lit(layout["buckets"])).cast("long")
+
+    def _layout(self, df: DataFrame, pk: list[str]) -> dict:
+        """Ranges of the leading key if it is a whole number, as wide as gives ``buckets`` ranges now; else hashes."""
+        if df.schema[pk[0]].dataType.simpleString() in _WHOLE:
+            lead = F.col(f"`{pk[0]}`").cast("long")
+            r = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
+            if r["lo"] is not None:
+                return {"kind": "range", "pk": pk, "width": max(1, -(-(r["hi"] - r["lo"] + 1) // self.buckets))}
+        return {"kind": "hash", "pk": pk, "buckets": self.buckets}
 
     def _write(self, df: DataFrame, path: str, by_bucket: bool) -> None:
-        w = df
         if by_bucket:
-            w = df.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL)
+            df.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL).mode("errorifexists").parquet(path)
         else:
-            w = df.write
-        w.mode("errorifexists").parquet(path)
+            df.write.mode("errorifexists").parquet(path)
 
-    def _count_written(self, path: str) -> int:
-        names = [n for n in self.fs.list_names(path) if n.startswith(f"{BUCKET_COL}=")]
-        return self.spark.read.parquet(*[f"{path}/{n}" for n in names]).count() if names else 0
+    def _written(self, table: str, folder: str) -> dict[str, str]:
+        names = self.fs.list_names(f"{self._tdir(table)}/{folder}")
+        return {n.split("=", 1)[1]: f"{folder}/{n}" for n in names if n.startswith(f"{BUCKET_COL}=")}
 
     def replace(self, table: str, df: DataFrame, batch_id: str | None = None) -> int:
-        """The new content fully replaces the table (new version dir + commit; old data untouched)."""
-        done = self._replayed(table, batch_id)
-        if done is not None:
-            return done["version"]
-        v = self.version(table) + 1
-        rel = f"v={v}"
-        self._write(df, f"{self._tdir(table)}/{rel}", by_bucket=False)
-        self._commit(table, {"version": v, "op": "replace", "paths": [rel], "schema": _ddl(df),
-                             "batch_id": batch_id})
-        return v
+        """The new content fully replaces the table (new folder + commit; old data untouched)."""
+        return self._whole(table, df, batch_id, "replace")
 
     def append(self, table: str, df: DataFrame, batch_id: str | None = None) -> int:
-        """Bag append (audit log, staging): previous paths plus one new version dir."""
+        """Bag append (audit log, staging): previous paths plus one new folder."""
+        return self._whole(table, df, batch_id, "append")
+
+    def _whole(self, table: str, df: DataFrame, batch_id: str | None, op: str) -> int:
         done = self._replayed(table, batch_id)
         if done is not None:
             return done["version"]
-        prev = self.commit_info(table)
-        v = (prev["version"] if prev else 0) + 1
-        rel = f"v={v}"
-        self._write(df, f"{self._tdir(table)}/{rel}", by_bucket=False)
-        paths = (prev["paths"] if prev else []) + [rel]
-        self._commit(table, {"version": v, "op": "append", "paths": paths, "schema": _ddl(df), "batch_id": batch_id})
-        return v
+        folder = self._folder(self.version(table) + 1, batch_id)
+        self._write(df, f"{self._tdir(table)}/{folder}", by_bucket=False)
+        while True:  # the data doesn't depend on what others committed meanwhile
+            prev = self.commit_info(table)
+            paths = (prev["paths"] if prev and op == "append" else []) + [folder]
+            info = {"version": (prev["version"] if prev else 0) + 1, "op": op, "paths": paths, "schema": _ddl(df), "batch_id": batch_id}
+            try:
+                self._commit(table, info)
+                return info["version"]
+            except CommitConflict:
+                continue
 
     def _replayed(self, table: str, batch_id: str | None) -> dict | None:
-        """The commit that already applied ``batch_id``, if any (marker file; log scan as fallback)."""
+        """The commit that already applied ``batch_id``, if any: by its marker, else by the names of data folders."""
         if batch_id is None:
             return None
-        marker = self._marker(table, batch_id)
-        if self.fs.exists(marker):
-            return self.commit_info(table, int(self.fs.read_text(marker).strip()))
-        latest = self.commit_info(table)
-        if latest is not None and latest.get("batch_id") == batch_id:  # crashed before the marker
-            return latest
+        marker, versions = self._marker(table, batch_id), set(self._log(table))
+        tried = [int(self.fs.read_text(marker).strip())] if self.fs.exists(marker) else []
+        names = [n for n in self.fs.list_names(self._tdir(table)) if n.endswith(f"-{self._digest(batch_id)}")]
+        tried += [int(n[2:].split("-")[0]) + i for n in names for i in (0, 1, 2, 3)]  # a lost race commits a little later
+        for v in tried:
+            info = self.commit_info(table, v) if v in versions else None
+            if info is not None and info.get("batch_id") == batch_id:
+                return info
         return None
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
-              batch_id: str | None = None, unique: bool = False,
-              reloaded_parents: DataFrame | None = None) -> MergeResult:
-        """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets the delta touches.
-
-        One aggregation decides every key: the live rows of the touched buckets (priority 0) and the delta
-        (priority 1) are unioned and ``max_by`` keeps, per key, the delta row if there is one (the
-        greatest ``prefer`` tuple, then the greatest full row, among delta duplicates), else the live row.
-        The aggregate combines map-side, so a key repeated many times in the delta never lands whole in one
-        task; insert / update counts come from the same pass (observed while writing).
-
-        ``unique=True`` declares the delta free of PK duplicates (e.g. children of deduplicated parents):
-        the first load of a table then writes without any aggregation.
-
-        ``reloaded_parents`` (FK columns only) switches on orphan deletion: live rows whose FK is among
-        the reloaded parents and whose key is not in the delta are removed. The buckets holding such rows
-        are found by a scan of the live FK / PK columns only and added to the touched set.
+              batch_id: str | None = None, unique: bool = False, reloaded_parents: DataFrame | None = None,
+              keep_newer: bool = False) -> MergeResult:
+        """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets that hold its keys.
+
+        Among delta rows of one key the greatest ``prefer`` tuple wins, then the greatest full row; ``unique`` says that
+        there are none to choose from. The winner replaces the live row, unless ``keep_newer`` and the live row has the
+        greater ``prefer`` tuple. Columns that only one side has are NULL on the other (the schema grows).
+
+        ``reloaded_parents`` (FK columns only) switches on orphan deletion: live rows whose FK is among the reloaded
+        parents and whose key is not in the delta are removed; their buckets are found by a scan of key columns.
         """
         done = self._replayed(table, batch_id)
         if done is not None:
             c = done.get("counts", {})
-            return MergeResult(table, done["version"], c.get("rows_in", 0), c.get("inserted", 0),
-                               c.get("updated", 0), skipped=True)
+            return MergeResult(table, done["version"], c.get("rows_in", 0), c.get("inserted", 0), c.get("updated", 0), True)
         pk = list(pk)
+        # The delta is written once: it is counted, deduplicated and joined from there, never recomputed.
+        stage = f"{self._tdir(table)}/_delta/{uuid.uuid4().hex}"
+        df.write.parquet(stage)
+        try:
+            staged = self.spark.read.schema(df.schema).parquet(stage)
+            keyed = F.lit(True)
+            for k in pk:
+                keyed = keyed & F.col(f"`{k}`").isNotNull()
+            sizes = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(~keyed).alias("bad")).first()
+            if sizes["bad"]:
+                self._reject(table, staged.where(~keyed), "NULL primary key", batch_id)
+            delta = staged.where(keyed) if sizes["bad"] else staged
+            for _ in range(5):
+                try:
+                    return self._merge(table, delta, pk, prefer, batch_id, unique, reloaded_parents, keep_newer, sizes)
+                except CommitConflict:
+                    continue
+            raise CommitConflict(f"{table}: other writers were faster five times")
+        finally:
+            self.fs.delete(stage)
+
+    def _reject(self, table: str, rows: DataFrame, reason: str, batch_id: str | None) -> None:
+        text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+        out = rows.select(F.lit(table).alias("table_name"), F.lit(reason).alias("reason"), text.alias("row"))
+        self.append(REJECTS, out, batch_id=f"{batch_id}:rejects:{table}" if batch_id else None)
+
+    def _merge(self, table, delta, pk, prefer, batch_id, unique, reloaded_parents, keep_newer, sizes) -> MergeResult:
         prev = self.commit_info(table)
         v = (prev["version"] if prev else 0) + 1
-        target_dir = f"{self._tdir(table)}/v={v}"
-        rows_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
-        delta = df.observe(rows_in, F.count(F.lit(1)).alias("rows_in")).withColumn(BUCKET_COL, self._bucket(pk))
-        live: dict[str, str] = dict(prev["buckets"]) if prev else {}
-        touched: list[int] = []
-        gone = None
-        if reloaded_parents is not None:
-            fk = list(reloaded_parents.columns)
-            gone = reloaded_parents.dropDuplicates().withColumn("__gone", F.lit(True))
-        if prev is None:
-            both = delta.withColumn("__prio", F.lit(1))
-        else:
-            # The delta is materialised once (reliable checkpoint): it feeds the touched-bucket list and the
-            # merge itself. The list has at most `buckets` entries, whatever the data size.
-            delta = delta.checkpoint(eager=True)
-            buckets = delta.select(BUCKET_COL)
-            if gone is not None:  # live children of reloaded parents, wherever their keys hash
-                all_live = self.spark.read.schema(prev["schema"]).parquet(
-                    *[f"{self._tdir(table)}/{p}" for p in prev["paths"]])
-                buckets = buckets.unionByName(all_live.select(*fk, *[k for k in pk if k not in fk])
-                                              .join(gone.select(*fk), fk, "left_semi")
-                                              .select(self._bucket(pk).alias(BUCKET_COL)))
-            touched = sorted(r[0] for r in buckets.distinct().collect())
-            old_paths = [f"{self._tdir(table)}/{live[str(b)]}" for b in touched if str(b) in live]
-            both = delta.withColumn("__prio", F.lit(1))
-            if gone is not None:
-                both = both.withColumn("__gone", F.lit(False))
-            if old_paths:
-                old = self.spark.read.schema(prev["schema"]).parquet(*old_paths)
-                old = old.withColumn(BUCKET_COL, self._bucket(pk)).withColumn("__prio", F.lit(0))
+        folder = self._folder(v, batch_id)
+        keys = [F.col(f"`{k}`") for k in pk]
+        layout = (prev or {}).get("layout") or self._layout(delta, pk)
+        if layout["pk"] != pk:
+            raise ValueError(f"{table} is laid out by {layout['pk']}, not {pk}")
+        winners = delta if unique else dedupe_by_pk(delta, pk, prefer)
+        schema = prev["schema"] if prev else _ddl(delta)
+        counts = {"rows_in": sizes["n"], "rejected": sizes["bad"], "updated": 0, "deleted": 0}
+        live: dict[str, str] = {}
+        data, n_winners = winners, delta.count() if unique else delta.select(*keys).distinct().count()
+        if prev is not None:
+            reader = self.spark.read.schema(schema)
+            live, everything = dict(prev.get("buckets") or {}), [f"{self._tdir(table)}/{p}" for p in prev["paths"]]
+            touched = delta.select(self._bucket(layout).alias(BUCKET_COL))
+            gone = None
+            if reloaded_parents is not None:
+                gone = reloaded_parents.dropDuplicates()
+                fk = gone.columns
+                if everything:
+                    hit = reader.parquet(*everything).select(*dict.fromkeys([*fk, *pk])).join(gone, fk, "left_semi")
+                    touched = touched.union(hit.select(self._bucket(layout)))
+            touched = {str(r[0]) for r in touched.distinct().collect()}
+            # After a replace or append there are no buckets yet: all of the table is laid out now.
+            old = [f"{self._tdir(table)}/{live[b]}" for b in sorted(touched) if b in live] if "buckets" in prev else everything
+            if old:
+                rows = reader.parquet(*old)
+                if keep_newer and prefer:
+                    mine = winners.select(*keys, F.struct(*prefer).alias("__mine"))
+                    theirs = rows.select(*keys, F.struct(*prefer).alias("__theirs"))
+                    stale = theirs.join(mine, pk).where(F.col("__theirs") > F.col("__mine")).select(*pk)
+                    winners = winners.join(stale, pk, "left_anti")
+                    n_winners -= stale.count()
+                mine = winners.select(*keys)
+                counts["updated"] = rows.select(*keys).join(mine, pk, "left_semi").count()
+                rest = rows.join(mine, pk, "left_anti")
                 if gone is not None:
-                    old = old.join(gone, fk, "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
-                both = old.unionByName(both.select(*old.columns))
-        if unique and prev is None:
-            self._write(delta, target_dir, by_bucket=True)
-            inserted = _metric(rows_in, "rows_in")  # no duplicates, no live rows: all inserted
-            if inserted is None:
-                inserted = self._count_written(target_dir)
-            for b in sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir)
-                            if n.startswith(f"{BUCKET_COL}=")):
-                live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
-            counts = {"rows_in": inserted, "inserted": inserted, "updated": 0}
-            self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
-                                 "paths": sorted(live.values()), "schema": _ddl(df), "batch_id": batch_id,
-                                 "counts": counts})
-            return MergeResult(table, v, counts["rows_in"], inserted, 0)
-        rest = [c for c in both.columns if c not in pk and c != "__prio"]
-        tie = [F.col(f"`{c}`") for c in rest if c != BUCKET_COL and _orderable(both.schema[c].dataType)]
-        order = F.struct(F.col("__prio"), *prefer, *tie)
-        decided = both.groupBy(*[F.col(f"`{k}`") for k in pk]).agg(
-            F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__w"),
-            F.min("__prio").alias("__min_prio"), F.max("__prio").alias("__max_prio"))
-        flags = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 1)).alias("inserted"),
-                   F.count_if((F.col("__max_prio") == 1) & (F.col("__min_prio") == 0)).alias("updated")]
-        if "__gone" in rest:
-            metrics.append(F.count_if(F.col("__w.__gone")).alias("deleted"))
-        decided = decided.observe(flags, *metrics)
-        data = decided.select(*[F.col(f"`{k}`") for k in pk], "__w.*")
-        if gone is not None and "__gone" in data.columns:  # a reloaded parent's child absent from the delta
-            data = data.where(~F.col("__gone"))  # delta winners carry __gone = false
-        cols = [c for c in df.columns] + [BUCKET_COL]
-        self._write(data.select(*[F.col(f"`{c}`") for c in cols]), target_dir, by_bucket=True)
-        written = sorted(int(n.split("=", 1)[1]) for n in self.fs.list_names(target_dir) if n.startswith(f"{BUCKET_COL}="))
-        for b in touched:  # a rewritten bucket left without rows (orphan deletion) is no longer live
-            if b not in written:
-                live.pop(str(b), None)
-        for b in written:
-            live[str(b)] = f"v={v}/{BUCKET_COL}={b}"
-        counts = {"rows_in": _metric(rows_in, "rows_in"), "inserted": _metric(flags, "inserted"),
-                  "updated": _metric(flags, "updated")}
-        if None in counts.values():  # nothing ran for an empty delta
-            counts = {"rows_in": 0, "inserted": 0, "updated": 0}
-        if "__gone" in rest:
-            counts["deleted"] = _metric(flags, "deleted") or 0
-        schema = _ddl(df) if prev is None else prev["schema"]
-        self._commit(table, {"version": v, "op": "merge", "pk": pk, "buckets": live,
-                             "paths": sorted(live.values()), "schema": schema, "batch_id": batch_id,
-                             "counts": counts})
-        return MergeResult(table, v, counts["rows_in"], counts["inserted"], counts["updated"])
-
-
-def _metric(obs: Observation, name: str) -> int | None:
-    """Observed metric, or None when the observed plan ran no task (e.g. an input with no partitions)."""
-    try:
-        return int(obs.get.get(name, 0))
-    except Exception:  # noqa: BLE001 - py4j assertion when no metrics were produced
-        return None
+                    lost = rest.join(gone, fk, "left_semi")
+                    if keep_newer and prefer:  # a live row that outlived its stale delta row is no orphan
+                        lost = lost.join(delta.select(*keys), pk, "left_anti")
+                    counts["deleted"] = lost.count()
+                    rest = rest.join(lost.select(*keys), pk, "left_anti")
+                data = rest.unionByName(winners, allowMissingColumns=True)
+            else:
+                data = winners
+            for b in touched:
+                live.pop(b, None)
+            if "buckets" not in prev:
+                live = {}
+            known = {f.name for f in reader.parquet(*everything).schema} if everything else set()
+            extra = [f for f in delta.schema if f.name not in known]
+            schema = ", ".join([schema, *[f"`{f.name}` {f.dataType.simpleString()}" for f in extra]]) if known else _ddl(delta)
+        counts["inserted"] = n_winners - counts["updated"]
+        self._write(data.withColumn(BUCKET_COL, self._bucket(layout)), f"{self._tdir(table)}/{folder}", by_bucket=True)
+        live.update(self._written(table, folder))
+        self._commit(table, {"version": v, "op": "merge", "pk": pk, "layout": layout, "buckets": live, "paths": sorted(live.values()), "schema": schema, "batch_id": batch_id, "counts": counts})
+        return MergeResult(table, v, counts["rows_in"], counts["inserted"], counts["updated"], deleted=counts["deleted"], rejected=counts["rejected"])
+
+    def vacuum(self, table: str, retain: int = 10) -> list[str]:
+        """Remove the commits before the newest ``retain`` and every data folder that no remaining commit names.
+
+        Not to be run while a writer is at work: its folder isn't named yet.
+        """
+        versions = self._log(table)
+        for v in versions[:-retain] if retain else []:
+            self.fs.delete(f"{self._tdir(table)}/_log/{v}.json")
+        named = {p.split("/")[0] for v in self._log(table) for p in self.commit_info(table, v)["paths"]}
+        loose = [n for n in self.fs.list_names(self._tdir(table)) if n.startswith("v=") and n not in named]
+        for n in loose:
+            self.fs.delete(f"{self._tdir(table)}/{n}")
+        return loose
 
 
 def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
-                     if f.name != BUCKET_COL)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != BUCKET_COL)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.changes import change_detect, latest_by_key
+from ..operators.merge import dedupe_by_pk
 from ..sources.store import TableStore
 
 
@@ -52,21 +53,20 @@ def stream_merge(stream: DataFrame, store: TableStore, table: str, pk: Sequence[
     _run(stream, sink, checkpoint, f"merge_{table}")
 
 
-def stream_dedup(stream: DataFrame, store: TableStore, table: str, keys: Sequence[str], event_time: str,
-                 delay: str, checkpoint: str) -> None:
-    """Drop re-delivered rows (same keys) within the watermark delay, append the rest."""
-    ts_type = stream.schema[event_time].dataType.simpleString()
-    s = stream
-    if ts_type == "timestamp_ntz":  # watermarks need zoned timestamps
-        s = s.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    deduped = s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-    if ts_type == "timestamp_ntz":
-        deduped = deduped.withColumn(event_time, F.col(event_time).cast("timestamp_ntz"))
+def stream_dedup(stream: DataFrame, store: TableStore, table: str, keys: Sequence[str], checkpoint: str,
+                 prefer: Sequence[str] = ()) -> None:
+    """The first delivery of a key is stored, later ones are dropped, however late rows arrive.
 
+    The table itself is the memory: a micro-batch is reduced to one row a key, rows whose key is stored already
+    (a scan of the key columns) go, the rest is merged. No watermark, so no late row is lost.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.append(table, batch, batch_id=_batch_tag(checkpoint, batch_id))
+        new = dedupe_by_pk(batch, list(keys), [F.col(p) for p in prefer])
+        if store.exists(table):
+            new = new.join(store.read(table).select(*keys), list(keys), "left_anti").select(*batch.columns)
+        store.merge(table, new.select(*batch.columns), list(keys), batch_id=_batch_tag(checkpoint, batch_id), unique=True)
 
-    _run(deduped, sink, checkpoint, f"dedup_{table}")
+    _run(stream, sink, checkpoint, f"dedup_{table}")
 
 
 def stream_change_detect(stream: DataFrame, store: TableStore, manifest_table: str, changes_table: str,
