@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.plans import cli, jobs
 from tidemark.sources.landing import read_landed
 from tidemark.sources.store import TableStore
+
+SF = "/root/testdata/sf0.001"
 from test_resources import ORDER_B1
 
 
@@ -106,4 +108,30 @@ def test_cli_bulk_orders_window(spark, tmp_path):
               "--shop-id", "7", "--allow-unkeyed-hash", "--buckets", "4"])
     store = TableStore(spark, str(tmp_path / "tables" / "b"))
     assert [r.id for r in store.read("order").collect()] == [100]
-    assert store.read(jobs.MANIFEST_TABLE).count() == 1
+    assert store.read(jobs.manifest_table(7)).count() == 1
+
+
+def test_windows_and_cursors(spark, tmp_path):
+    """Loads through stored cursors: the window filters each paged resource, the cursor never moves back."""
+    from datetime import datetime, timezone
+
+    from tidemark.plans import feeds, jobs
+
+    store = TableStore(spark, str(tmp_path / "w"), buckets=4)
+    landed = {"customers": feeds.customer_nodes(spark, SF)}
+    every = spark.read.parquet(f"{SF}/customer.parquet").count()
+    now = datetime(2024, 1, 10, tzinfo=timezone.utc)
+    first = jobs.load_windows(store, ["customers", "shop"], 1, now)
+    assert list(first) == ["customers"] and first["customers"].start == datetime(2024, 1, 3, tzinfo=timezone.utc)
+    jobs.run(store, landed, ["customers"], windows=first)
+    some = store.read("customer").count()
+    assert 0 < some < every
+    at = jobs.cursor(store, "customers", 1)
+    assert at is not None and at <= now and jobs.cursor(store, "customers", 2) is None
+    second = jobs.load_windows(store, ["customers"], 1, datetime(2024, 2, 1, tzinfo=timezone.utc))
+    assert (at - second["customers"].start).days == 1
+    jobs.run(store, landed, ["customers"], windows=second)
+    later = jobs.cursor(store, "customers", 1)
+    assert later > at and store.read("customer").count() > some
+    jobs.run(store, landed, ["customers"], windows=jobs.load_windows(store, ["customers"], 1, now, start="2024-01-01", end="2024-01-05"))
+    assert jobs.cursor(store, "customers", 1) == later

@@ -6,7 +6,7 @@
 ``--mode`` picks a preset (orders, customers, products, collections, catalog, shop, all). The PII secret
 is read from the environment variable named by ``--secret-env`` (unset -> unkeyed SHA-256 only with
 ``--allow-unkeyed-hash``). Window arguments drive the bulk-orders snapshot window and the incremental
-range filter; paged resources are loaded whole from the landing directory.
+range filter of paged resources; without any, and without ``--incremental``, these are loaded whole.
 """
 
 from __future__ import annotations
@@ -39,6 +39,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--end", default=None)
     ap.add_argument("--cursor", default=None, help="stored high-water mark for incremental runs")
     ap.add_argument("--lookback-days", type=int, default=1)
+    ap.add_argument("--incremental", action="store_true",
+                    help="paged resources from their stored cursors (a first run: the last 7 days); implied by a window option")
+    ap.add_argument("--run-id", default=None, help="name of this run: a retry under the same name writes nothing twice")
     ap.add_argument("--bulk-orders", action="store_true", help="orders via snapshot + by-id payloads")
     ap.add_argument("--max-rows", type=int, default=0)
     ap.add_argument("--buckets", type=int, default=256)
@@ -61,18 +64,32 @@ def main(argv: list[str] | None = None) -> None:
     if shop_id is None:
         from ..sources.scans import shop_identity
         shop_id = shop_identity(read_resource(spark, a.landing, "shop"))
-    load_id = uuid.uuid4().hex
-    now = datetime.now(timezone.utc)
+    load_id = a.run_id or uuid.uuid4().hex
+    now, bulk = datetime.now(timezone.utc), None
     if a.bulk_orders and "orders" in resources:
         w = incremental_window(a.cursor, a.lookback_days, a.end, clamp_backfill(a.backfill_days), a.start,
                                overlap_days=7, now=now) if (a.cursor or a.start or a.backfill_days) else \
             Window(datetime(1970, 1, 1, tzinfo=timezone.utc), now)
-        jobs.load_orders_bulk(store, read_resource(spark, a.landing, "order_snapshots"),
+        bulk = jobs.load_orders_bulk(store, read_resource(spark, a.landing, "order_snapshots"),
                               read_resource(spark, a.landing, "order_payloads"), w, shop_id=shop_id,
-                              secret=secret, max_rows=a.max_rows, batch_id=load_id)
+                              secret=secret, max_rows=a.max_rows, batch_id=load_id, orphans=a.orphans)
+        if bulk.deferred:
+            print(f"{bulk.deferred} changed orders left for the next run (--max-rows)")
         resources = [r for r in resources if r != "orders"]
+    windows = None
+    if a.incremental or a.start or a.end or a.cursor or a.backfill_days:
+        days = clamp_backfill(a.backfill_days)
+        if a.cursor:
+            w = incremental_window(a.cursor, a.lookback_days, a.end, days, a.start, now=now)
+            windows = {r: w for r in resources}
+        else:
+            windows = jobs.load_windows(store, resources, shop_id, now, a.lookback_days, a.start, a.end, days)
+        for r, w in windows.items():
+            print(f"{r}: {w.start.isoformat()} to {w.end.isoformat()}")
     report = jobs.run(store, read_landed(spark, a.landing, resources), resources, shop_id=shop_id, secret=secret,
-                      batch_id=load_id, orphans=a.orphans)
+                      batch_id=load_id, orphans=a.orphans, windows=windows)
+    if bulk is not None:
+        report.results.update(bulk.tables)
     jobs.record_load(store, report, load_id, now)
 
 

@@ -229,7 +229,7 @@ SQL: dict[str, str] = {
     "replace_snapshot": """
         SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'smart' ELSE 'custom' END AS collection_type
         FROM part""",
-    "latest_by_key": SNAP,
+    "latest_by_key": f"SELECT gid, updated_at, event_id FROM ({SNAP})",
     "change_detect": CHANGED,
     "hydrate_join": f"""
         SELECT c.gid, c.updated_at, c_name, c_acctbal FROM ({CHANGED}) c JOIN customer ON c_custkey = c.gid""",

@@ -579,7 +579,7 @@ def bulk_orders_load(spark, sf):
     store = _store(spark)
     prior = scans.snapshot_scan(feeds.order_snapshot_lines(spark, sf)).where(
         F.col("updated_at") < F.lit(MERGE_CUT.isoformat(sep=" ")).cast("timestamp")).select("gid", "updated_at")
-    store.merge(jobs.MANIFEST_TABLE, prior, ["gid"])
+    store.merge(jobs.manifest_table(SHOP_ID), prior, ["gid"])
     payloads = scans.payload_scan(feeds.order_payloads(spark, sf), RS.ORDER_NODE)
     window = W.Window(W.utc(BULK_WINDOW[0]), W.utc(BULK_WINDOW[1]))
     jobs.load_orders_bulk(store, feeds.order_snapshot_lines(spark, sf), payloads, window, shop_id=SHOP_ID)

@@ -131,6 +131,9 @@ def order_tables(nodes: DataFrame, shop_id: int | Column, loaded_at: Column | No
     paths = list(ORDER_PII_PATHS if pii_paths is None else pii_paths)
     root = hash_pii_paths(normalize_ids(flatten_order_customer_spend(_scalar_part(base))), paths, secret)
 
+    if "clientIp" not in root.columns:  # declared but never landed (T24): the column is there, NULL
+        root = root.withColumn("clientIp", F.lit(None).cast("string"))
+
     def child_paths(lst: str, own: list[str] | None = None) -> list[str]:
         """Paths into ``lst[*]`` apply to that child table (the list is exploded before hashing)."""
         prefix = f"{lst}[*]."
