@@ -295,10 +295,3 @@ def typed_projection(df: DataFrame, columns: Sequence[tuple[str, str]],
             v = F.when(v.isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {name}"))).otherwise(v)
         out.append(v.alias(name))
     return df.select(*out)
-
-
-def tags_to_rows(df: DataFrame, parent_key: str, fk_name: str, tags: str = "tags") -> DataFrame:
-    """Scalar list -> ``(fk, index, value)`` rows."""
-    from .nested import explode_child
-
-    return explode_child(df, tags, {parent_key: fk_name}, index="index", scalar_name="value")

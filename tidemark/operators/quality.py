@@ -22,15 +22,6 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def fk_orphans(child: DataFrame, parent: DataFrame, fk: Sequence[str], pk: Sequence[str]) -> DataFrame:
-    """Child rows whose foreign key has no parent row (left anti join; NULL FKs count as orphans)."""
-    p = parent.select(*[_c(k).alias(f"__p{i}") for i, k in enumerate(pk)]).distinct()
-    cond = None
-    for i, k in enumerate(fk):
-        e = _c(k) == F.col(f"__p{i}")
-        cond = e if cond is None else cond & e
-    return child.join(p, cond, "left_anti")
-
 
 def orphan_summary(relations: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
     """``(relation, n_children, n_orphans)`` for each ``(name, child, parent, fk, pk)``.

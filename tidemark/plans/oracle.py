@@ -346,4 +346,10 @@ SQL: dict[str, str] = {
     "stream_merge": "SELECT event_id, user_id, ts, event_type, value FROM events",
     "stream_dedup": "SELECT event_id, user_id, ts, event_type FROM events",
     "stream_change_detect": CHANGED,
+    "stream_dedup_late": "SELECT event_id, user_id, ts, event_type FROM events",
+    "reject_report": """
+        SELECT 'event' AS table_name, 'NULL primary key' AS reason, count(*) AS n_rows FROM events WHERE event_type = 'error'
+        UNION ALL SELECT 'event', 'merged', count(*) FROM events WHERE event_type <> 'error'""",
+    "incremental_load": """
+        SELECT c_custkey AS id, TIMESTAMP '2024-01-01' + c_nationkey * INTERVAL 1 DAY AS updated_at FROM customer WHERE c_nationkey >= 2""",
 }

@@ -644,6 +644,42 @@ def stream_dedup(spark, sf):
     return store.read("events")
 
 
+def stream_dedup_late(spark, sf):
+    """Files that arrive out of order and twice, one micro-batch each: every event once, none lost for being late."""
+    _ctx(spark)
+    store, landing, ckpt = _store(spark), scratch_path(spark, "landing"), scratch_path(spark, "ckpt")
+    e = feeds.load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    day = F.dayofmonth("ts")
+    for part in (day.between(11, 20), day > 20, day <= 10, day.between(15, 20)):
+        e.where(part).coalesce(1).write.mode("append").parquet(landing)
+        ST.stream_dedup(ST.file_stream(spark, landing, e.schema, max_files=1), store, "events", ["event_id"], ckpt)
+    return store.read("events")
+
+
+def reject_report(spark, sf):
+    """Rows without a primary key are kept apart and counted, not merged into one."""
+    _ctx(spark)
+    store = _store(spark)
+    e = feeds.load(spark, sf, "events").select(F.when(F.col("event_type") != "error", F.col("event_id")).alias("id"), "user_id", "event_type")
+    store.merge("event", e, ["id"])
+    rejects = store.read("_rejects").groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    merged = store.read("event").agg(F.lit("event").alias("table_name"), F.lit("merged").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
+    return rejects.unionByName(merged)
+
+
+INCREMENTAL_RUNS = (datetime(2024, 1, 10), datetime(2024, 2, 1))
+
+
+def incremental_load(spark, sf):
+    """Two loads through stored state: a first run over the last 7 days, a second from the cursor it left."""
+    _ctx(spark)
+    store = _store(spark)
+    for now in INCREMENTAL_RUNS:
+        windows = jobs.load_windows(store, ["customers"], SHOP_ID, W.utc(now))
+        jobs.run(store, {"customers": feeds.customer_nodes(spark, sf)}, ["customers"], shop_id=SHOP_ID, windows=windows)
+    return store.read("customer").select("id", _ntz("updated_at").alias("updated_at"))
+
+
 def stream_change_detect(spark, sf):
     _ctx(spark)
     store = _store(spark)
@@ -717,4 +753,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_merge": stream_merge,
     "stream_dedup": stream_dedup,
     "stream_change_detect": stream_change_detect,
+    "stream_dedup_late": stream_dedup_late,
+    "reject_report": reject_report,
+    "incremental_load": incremental_load,
 }
