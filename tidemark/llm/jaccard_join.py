@@ -205,11 +205,15 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, d): Jaccard distance of each pair."""
-    one = pairs.join(sets.select(F.col("rid").alias("a"), F.col("set").alias("sa")), "a")
-    two = one.join(sets.select(F.col("rid").alias("b"), F.col("set").alias("sb")), "b")
-    both = two.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
+def _measure(pairs: DataFrame, sets: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(a, b, i, u, d): sizes of intersection and union and the Jaccard distance of each of the staged pairs.
+
+    Only sets that a pair names move: pairs (16 bytes each) are broadcast to them up to a number, joined beyond.
+    """
+    few = F.broadcast if pairs.count() <= broadcast_rows else (lambda df: df)
+    one = sets.select(F.col("rid").alias("a"), F.col("set").alias("sa")).join(few(pairs), "a")
+    other = sets.select(F.col("rid").alias("b"), F.col("set").alias("sb")).join(few(pairs.select("b").distinct()), "b", "left_semi")
+    both = one.join(other, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     # Repeated rows give a set more than once.
     return both.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u"), (1 - F.col("i") / (F.col("t") - F.col("i"))).alias("d")).dropDuplicates(["a", "b"])
 
@@ -277,7 +281,7 @@ def jaccard_components(
     sets = stage(mine.mapInArrow(_full(width), "rid long, set array<long>"), "sets", compression="none")
 
     linked = 100 * F.col("i") >= percent * F.col("u")
-    links = [stage(_measure(near_pairs, sets).where(linked).select("a", "b"), "links")]
+    links = [stage(_measure(near_pairs, sets, broadcast_rows).where(linked).select("a", "b"), "links")]
 
     # Second level: cells of document pivots.
     rest = big
@@ -287,8 +291,8 @@ def jaccard_components(
             break
         pivots = stage(rest.groupBy("s").agg(F.min(F.struct("pos", "n", "rid")).alias("p")).select("s", F.col("p.rid").alias("p"), F.col("p.n").alias("pn")), "pivots")
         cells = rest.join(pivots, "s").where("rid <> p").withColumn("fits", _sizes_fit("n", "pn", percent))
-        met = cells.where("fits").select(F.col("rid").alias("a"), F.col("p").alias("b")).distinct()
-        met = stage(_measure(met, sets), "distances")
+        met = stage(cells.where("fits").select(F.col("rid").alias("a"), F.col("p").alias("b")).distinct(), "met")
+        met = stage(_measure(met, sets, broadcast_rows), "distances")
         links.append(met.where(linked).select("a", "b"))
         measured = met.select(F.col("a").alias("rid"), F.col("b").alias("p"), "d", linked.alias("in"))
         cells = cells.join(measured, ["rid", "p"], "left")
@@ -310,8 +314,8 @@ def jaccard_components(
         left = rest.withColumn("tile", F.pmod(F.xxhash64("rid"), tiles))
         right = rest.withColumn("tile", F.explode(F.expr("sequence(0L, c div 256)")))
         left, right = left.withColumn("tile", F.col("tile").cast("long")), right.withColumn("tile", F.col("tile").cast("long"))
-        pairs = pairs_of(left, right, ["s", "tile"], F.col("l.component") != F.col("r.component"))
-        found = stage(found.union(_measure(pairs, sets).where(linked).select("a", "b")), "links")
+        pairs = stage(pairs_of(left, right, ["s", "tile"], F.col("l.component") != F.col("r.component")), "apart_pairs")
+        found = stage(found.union(_measure(pairs, sets, broadcast_rows).where(linked).select("a", "b")), "links")
 
     linked_ids = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
     group = components(linked_ids, found).withColumnRenamed("id", "rid")
