@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import katz
+from tidemark.llm import katz, queries
 
 
 def plain(docs, learns):
@@ -76,3 +76,47 @@ def test_odd_rows(spark):
     assert sorted((r["n_tokens"], r["n_known"]) for r in found) == [(1, 1), (1, 1), (2, 1), (4, 4), (151, 151), (151, 151)]
     assert katz.katz_scores(docs.where("false"), F.lit(True)).count() == 0
     assert {r["score"] for r in katz.katz_scores(docs, F.lit(False)).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("split", [200_000, 3])
+def test_closed_histories(spark, split):
+    """Ten copies, and a held-out copy with one word replaced: followers seen more than K times leave mass to the others."""
+    words = [f"w{i}" for i in range(30)]
+    edited = [*words[:10], "w25", *words[11:20], "never", *words[21:]]
+    rows = [(i, " ".join(words)) for i in range(10)] + [(20, " ".join(edited)), (21, "other words")]
+    docs = spark.createDataFrame([*rows, (30, "some rare words")], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in katz.katz_scores(docs, ~F.col("doc_id").isin(20, 21), split=split, part_bytes=50, reserve=0.5).collect()}
+    assert all(np.isfinite(s) for s in found.values())
+
+    train = [[*w, " "] for w in [words] * 10 + ["some rare words".split()]]
+    uni, pairs = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["^", *t], t))
+    of = {**uni, "^": len(train)}
+    counts = lambda c: [sum(c.values()), len(c), *(sum(v == r for v in c.values()) for r in range(1, katz.K + 2))]
+    total, d1, unknown = katz.unigram_model(counts(uni))
+    d2 = katz.discounts(counts(pairs))
+    p1 = lambda w: uni[w] * (1.0 if uni[w] > katz.K else d1[uni[w] - 1]) / total if uni[w] else unknown
+
+    def seen(h, w):
+        closed = all(c > katz.K for (a, _), c in pairs.items() if a == h)
+        c = pairs[h, w]
+        return (c * (1 - 0.5 / of[h]) if closed else c * (1.0 if c > katz.K else d2[c - 1])) / of[h]
+
+    def p2(h, w):
+        if pairs[h, w] or not of.get(h):
+            return seen(h, w) if of.get(h) else p1(w)
+        after = [b for a, b in pairs if a == h]
+        return (1 - math.fsum(seen(h, b) for b in after)) / (1 - math.fsum(map(p1, after))) * p1(w)
+
+    for h in ("^", "w3", "some", "words"):
+        assert math.fsum(p2(h, w) for w in [*uni, "never"]) == pytest.approx(1, abs=1e-9)
+    for i, text in [*rows, (30, "some rare words")]:
+        t = [*text.split(), " "]
+        assert found[i] == pytest.approx(sum(math.log10(p2(a, b)) for a, b in zip(["^", *t], t)), rel=1e-9)
+
+
+def test_query_is_finite(spark, tmp_path):
+    held = next(i for i in range(100, 200) if not learns(i))
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, text) for i in range(40) if learns(i)] + [(held, text.replace("w10 ", "w25 "))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert all(np.isfinite(r["score"]) for r in queries.op1_katz_backoff(spark, str(tmp_path)).collect())

@@ -2,8 +2,9 @@
 
 Tokens are lower-cased words and one end per text; an unknown word is one more entry of the vocabulary. A seen pair has its
 discounted relative frequency. For a pair that was never seen the model recurses to the unigram, times the backoff
-weight of the history: what the discounts left, over what the unigrams of the words not seen after it add up to. Sums over
-all words, the unknown one included, are 1 for every history.
+weight of the history: what the discounts left, over what the unigrams of the words not seen after it add up to. A closed
+history, all of whose followers are too frequent to be discounted, gives up ``reserve`` of a count instead, in equal
+proportion from all its pairs. Sums over all words, the unknown one included, are 1 for every history.
 
 Documents are read in blocks of about ``block`` tokens. A block sends each distinct word, and later each distinct pair,
 once, with its number; words are dealt by hash, pairs by history. A frequent history is dealt in as many parts as its
@@ -194,7 +195,12 @@ def _sums(history: np.ndarray, count: np.ndarray, p1: np.ndarray):
     return history[edges], [np.add.reduceat(x, edges) if len(edges) else x for x in each], np.add.reduceat(np.where(count > 0, p1, 0.0), edges) if len(edges) else p1
 
 
-def _add_pairs(unigram: tuple):
+def _closed(sums: list[np.ndarray]) -> np.ndarray:
+    """Histories that are followed by something, but by no word whose count is discounted."""
+    return (sum(sums[:K]) == 0) & (sums[K] > 0)
+
+
+def _add_pairs(unigram: tuple, reserve: float):
     """One part: totals of its pairs, the sums of its histories, and the answer to each block."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -220,6 +226,7 @@ def _add_pairs(unigram: tuple):
         names, sums, mass = _sums(h, total, unigram_probability(word_count[first], unigram))
         where = np.searchsorted(names, h)
         split = ~one[np.searchsorted(h, names)]
+        closed = _closed(sums)
         out = [("pairs", -1, part, _pack(np.diff(h[total > 0], prepend=0)), _pack(word[first][total > 0]), _pack(total[total > 0]), None, _count_of_counts(total))]
         if split.any():
             out.append(("split", -1, part, _pack(names[split]), _pack(np.concatenate([s[split] for s in sums])), _pack(mass[split]), None, None))
@@ -230,7 +237,9 @@ def _add_pairs(unigram: tuple):
             # Histories of pairs that were never seen: their sums go along, in the order of the pairs.
             unseen = mine[(total[mine] == 0) & one[mine]]
             of = where[unseen]
-            out.append(("totals", r["block"], part, _pack(total[mine]), _pack(np.concatenate([s[of] for s in sums])), _pack(mass[of]), None, None))
+            # Only an undiscounted pair can have a closed history.
+            bits = _pack(np.packbits(closed[where[mine[(total[mine] > K) & one[mine]]]])) if reserve else None
+            out.append(("totals", r["block"], part, _pack(total[mine]), _pack(np.concatenate([s[of] for s in sums])), _pack(mass[of]), bits, None))
         return _rows(out)
 
     return run
@@ -269,14 +278,15 @@ def unigram_probability(count: np.ndarray, model: tuple) -> np.ndarray:
     return np.where(count > 0, _discounted(count, d) / total, unknown)
 
 
-def backoff(sums: list[np.ndarray], mass: np.ndarray, d: np.ndarray) -> np.ndarray:
+def backoff(sums: list[np.ndarray], mass: np.ndarray, d: np.ndarray, reserve: float = 0.0) -> np.ndarray:
     """Backoff weights; 1 for a history that nothing followed."""
     total = sum(r * s for r, s in enumerate(sums[:K], 1)) + sums[K]
-    left = sum((1 - d[r - 1]) * r * s for r, s in enumerate(sums[:K], 1)) / np.maximum(total, 1)
+    left = sum((1 - d[r - 1]) * r * s for r, s in enumerate(sums[:K], 1))
+    left = np.where(_closed(sums), reserve, left) / np.maximum(total, 1)
     return np.where(total > 0, left / np.maximum(1 - mass, 1e-300), 1.0)
 
 
-def _score(parts: int, split: int, unigram: tuple, bigram_d: np.ndarray, counts: list[int], shared):
+def _score(parts: int, split: int, unigram: tuple, bigram_d: np.ndarray, counts: list[int], reserve: float, shared):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         block = Block(rows, parts, split)
@@ -286,8 +296,8 @@ def _score(parts: int, split: int, unigram: tuple, bigram_d: np.ndarray, counts:
         unseen = (total == 0) & block.whole
         sums = [_unpack(r["b"]).reshape(K + 1, -1) for r in answers]
         mass = np.concatenate([_unpack(r["c"]) for r in answers])
-        weight[unseen] = backoff(list(np.concatenate(sums, axis=1)), mass, bigram_d)
-        names, weights = shared.value
+        weight[unseen] = backoff(list(np.concatenate(sums, axis=1)), mass, bigram_d, reserve)
+        names, weights, split_closed = shared.value
         often = (total == 0) & ~block.whole
         if often.any() and len(names):
             at = np.minimum(np.searchsorted(names, block.history[often]), len(names) - 1)
@@ -295,7 +305,17 @@ def _score(parts: int, split: int, unigram: tuple, bigram_d: np.ndarray, counts:
         p1 = unigram_probability(block.word_count, unigram)
         # The start's own count is the number of training texts.
         history_count = np.where(block.history == 0, max(counts[-1], 1), block.history_count)
-        p = np.where(total > 0, _discounted(total, bigram_d) / np.maximum(history_count, 1), weight * p1)
+        kept = np.ones(len(total))
+        if reserve:
+            closed, edges = total > K, np.cumsum([0, *(len(_unpack(r["a"])) for r in answers)])
+            for r, a, b in zip(answers, edges[:-1], edges[1:]):
+                mine = a + np.flatnonzero(closed[a:b] & block.whole[a:b])
+                closed[mine] = np.unpackbits(_unpack(r["d"]).astype("u1"), count=len(mine)).astype(bool)
+            mine = np.flatnonzero(closed & ~block.whole)
+            at = np.searchsorted(names, block.history[mine])  # a split history that is followed by something has a name
+            closed[mine] = split_closed[at]
+            kept[closed] -= reserve / history_count[closed]
+        p = np.where(total > 0, kept * _discounted(total, bigram_d) / np.maximum(history_count, 1), weight * p1)
         per_token = np.log10(p)[block.use]
         base = np.log10((block.count + 0.1) / (counts[0] + 0.1 * (counts[1] + 1)))
         missing = block.doc_ids == -(1 << 63)
@@ -313,11 +333,13 @@ def _score(parts: int, split: int, unigram: tuple, bigram_d: np.ndarray, counts:
     return run
 
 
-def katz_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str = "text", block: int = 1_500_000, part_bytes: int = 6_000_000, split: int = 200_000) -> DataFrame:
+def katz_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str = "text", block: int = 1_500_000, part_bytes: int = 6_000_000, split: int = 200_000, reserve: float = 0.0) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``.
 
     ``learns`` says from which rows to learn. ``part_bytes``: text for each part of the tables; ``split``: tokens after
-    which a history is dealt in one more part (more where there would be over a million such parts).
+    which a history is dealt in one more part (more where there would be over a million such parts). ``reserve``: share of
+    a count that a closed history keeps for words that never followed it; at 0, Katz's own definition, these get the score
+    -inf.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -337,7 +359,7 @@ def katz_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_co
     unigram = unigram_model(counts)
     blocks = read.where("kind = 'block'").union(words.where("kind = 'ids'"))
     sent = blocks.groupBy("block").applyInArrow(_send_pairs(parts, split), ROWS)
-    pairs = stage(sent.groupBy("part").applyInArrow(_add_pairs(unigram), ROWS), "katz_pairs", "kind", "snappy").select(_NAMES)
+    pairs = stage(sent.groupBy("part").applyInArrow(_add_pairs(unigram, reserve), ROWS), "katz_pairs", "kind", "snappy").select(_NAMES)
     bigram_d = discounts(constants(pairs, "pairs"))
 
     # The split histories: their parts' sums, added up.
@@ -346,16 +368,16 @@ def katz_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_co
         names.append(_unpack(r["a"]))
         sums.append(_unpack(r["b"]).reshape(K + 1, -1))
         mass.append(_unpack(r["c"]))
-    found, starts = (np.empty(0, np.int64), np.empty(0)), 0
+    found, starts = (np.empty(0, np.int64), np.empty(0), np.empty(0, bool)), 0
     if names:
         held, at = np.unique(np.concatenate(names), return_inverse=True)
         added = [np.bincount(at, weights=x).astype(np.int64) for x in np.concatenate(sums, axis=1)]
-        found = held, backoff(added, np.bincount(at, weights=np.concatenate(mass)), bigram_d)
+        found = held, backoff(added, np.bincount(at, weights=np.concatenate(mass)), bigram_d, reserve), _closed(added)
         if held[0] == 0:
             starts = int(sum(r * s[0] for r, s in enumerate(added[:K], 1)) + added[K][0])
     shared = spark.sparkContext.broadcast(found)
     answered = blocks.union(pairs.where("kind = 'totals'"))
     scored = answered.groupBy("block").applyInArrow(
-        _score(parts, split, unigram, bigram_d, [counts[0], counts[1], starts], shared), "doc_id long, n_tokens long, n_known long, base_score double, score double"
+        _score(parts, split, unigram, bigram_d, [counts[0], counts[1], starts], reserve, shared), "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.withColumn("train_tokens", F.lit(counts[0]).cast("long"))

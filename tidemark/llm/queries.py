@@ -19,7 +19,7 @@ def _remainder(column: str, n: int) -> Column:
 
 
 def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = katz.katz_scores(read(spark, sf_dir, "documents"), _remainder("doc_id", 10) != 0)
+    scored = katz.katz_scores(read(spark, sf_dir, "documents"), _remainder("doc_id", 10) != 0, reserve=0.5)
     held_out = (_remainder("doc_id", 10) == 0).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
