@@ -219,6 +219,18 @@ def test_html_sites(spark):
     assert sum(map(len, found.values())) == len({(r[0], r[2]) for r in rows})
 
 
+def test_html_marked_articles(spark):
+    """What an article repeats from page to page stays; frames in it go."""
+    page = "<body><div>Site</div><article><h2>Overview</h2><p>Only here {0}</p><blockquote>Shared words</blockquote><div class=share>Tell</div></article></body>"
+    copy = "<body><article><h2>Overview</h2><ul><li>first</li><li>second</li></ul></article></body>"
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(8)] + [(100 + i, f"http://a.example/c{i}", copy) for i in range(6)]
+    rows += [(200 + i, f"http://b.example/{i}", f"<main><h2>Details</h2><p>Text {i}</p></main>") for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == f"Overview\nOnly here {i}\nShared words" for i in range(8))
+    assert all(found[100 + i] == "Overview\nfirst\nsecond" for i in range(6))
+    assert all(found[200 + i] == f"Details\nText {i}" for i in range(8))
+
+
 def test_pipeline(spark, documents, odd):
     docs = documents
     for name, step in corpus_pipeline.STAGES[:-1]:
