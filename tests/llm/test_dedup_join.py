@@ -101,6 +101,18 @@ def test_keep_one(odd):
     assert keep_one(odd.where("false")).count() == 0
 
 
+def test_keep_one_by_row(spark):
+    """Near copies without ids leave one, and a text of its own stays though its id has a near copy."""
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:-1], f"end{k}"]) for k in range(6)]
+    own = ["one text of its own with words that no other has", "another text that shares the id of a near copy"]
+    other = [" ".join([*words[::-1], f"last{k}"]) for k in range(3)]
+    rows = [(1, near[0]), (2, near[1]), (2, own[0]), (None, near[2]), (None, own[1]), (1, near[3]), *((None, t) for t in other)]
+    kept = [tuple(r) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {(2, own[0]), (None, own[1])} <= set(kept) and len(kept) == 4
+    assert sum(r in [(1, near[0]), (1, near[3])] for r in kept) == 1 and sum(t in other for _, t in kept) == 1
+
+
 def test_shingles():
     assert len(shingles(b"")) == len(shingles(None)) == 0
     assert shingles(b"A b")[0] == shingles(b" a\tB ")[0] != shingles(b"ab")[0]

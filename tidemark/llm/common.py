@@ -52,6 +52,11 @@ def once(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def text_sha(text: Column | str) -> Column:
+    """SHA-256 of a text, 32 bytes; null for a null text."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: ``nodes(id)``, ``edges(a, b)`` -> (id, component), the smallest id reachable.
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, maybe_broadcast, stage
+from .common import components, maybe_broadcast, stage, text_sha
 
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=_U)
@@ -179,7 +179,10 @@ def _prefixes(width: int, hot: np.ndarray, hot_n: np.ndarray, percent: int):
                 prefixes.append(first[:p])
                 rid += 1
             arrays = [pa.array(rids, pa.int64()), batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["rid", "doc_id", "n", "digest", "prefix"])
+            names = ["rid", "doc_id", "n", "digest", "prefix"]
+            if batch.num_columns > 2:
+                arrays, names = [*arrays, batch.column(2)], [*names, "sha"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 
@@ -229,9 +232,12 @@ def jaccard_components(
     hot_list: int = 300_000,
     block: int = 2_000_000,
     broadcast_rows: int = 1_000_000,
+    digests: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``; a link is 100 * intersection >= percent * union.
 
+    With ``digests`` also ``sha``, of the row's text, and ``component``, a number that rows without an id have too (null
+    for rows without shingles).
     ``hot_list``: length of the list of common shingles (16 bytes each) that orders pivots; ``leaf``: rows of a region
     that is compared pair by pair at once; ``rounds`` of document pivots for the others. None changes the result.
     """
@@ -242,7 +248,9 @@ def jaccard_components(
     common = texts.select("text").mapInArrow(_common(width, block, 3), "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     top = common.orderBy(F.desc("n"), "s").limit(hot_list).toPandas().sort_values("s")
     hot, hot_n = top["s"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
-    rows = stage(texts.mapInArrow(_prefixes(width, hot, hot_n, percent), "rid long, doc_id long, n long, digest binary, prefix array<long>"), "shingle_sets")
+    read = texts.withColumn("sha", text_sha("text")) if digests else texts
+    kinds = "rid long, doc_id long, n long, digest binary, prefix array<long>" + (", sha binary" if digests else "")
+    rows = stage(read.mapInArrow(_prefixes(width, hot, hot_n, percent), kinds), "shingle_sets")
 
     # One class for equal sets, named by its smallest rid.
     classes = stage(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("low"), F.count("*").alias("copies")), "classes")
@@ -321,9 +329,11 @@ def jaccard_components(
     group = components(linked_ids, found).withColumnRenamed("id", "rid")
     named = classes.join(group, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = stage(named.select("digest", "component").join(lowest, "component").select("digest", "component_id"), "named")
-    return rows.select("doc_id", "n", "digest").join(named.withColumnRenamed("digest", "_d"), (F.col("n") > 0) & (F.col("digest") == F.col("_d")), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    more = ["component"] if digests else []
+    named = stage(named.select("digest", "component").join(lowest, "component").select("digest", "component_id", *more), "named")
+    more += ["sha"] if digests else []
+    return rows.select("doc_id", "n", "digest", *more[1:]).join(named.withColumnRenamed("digest", "_d"), (F.col("n") > 0) & (F.col("digest") == F.col("_d")), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *more
     )
 
 
@@ -335,7 +345,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Rows without an id stay."""
-    found = jaccard_components(docs, id_col, text_col, **params)
-    dropped = stage(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_drop")).distinct(), "dropped")
-    return docs.join(dropped, docs[id_col] == F.col("_drop"), "left_anti")
+    """``docs`` with one document of each component: the one with the smallest id, null the last, then the smallest digest.
+
+    A document is an id, null included, with a text: its repeated rows stay or go together, and texts that share an id
+    are documents of their own. Texts without words link with nothing and stay.
+    """
+    found = jaccard_components(docs, id_col, text_col, digests=True, **params)
+    found = stage(found.where("component is not null").select("component", "doc_id", "sha"), "documents")
+    mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")
+    best = found.groupBy("component").agg(F.min(mine).alias("best"), F.max(mine).alias("last")).where("best <> last")
+    best = best.select("component", F.col("best.doc_id").alias("best_id"), F.col("best.sha").alias("best_sha"))
+    gone = ~(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("sha") == F.col("best_sha")))
+    dropped = stage(found.join(best, "component").where(gone).select(F.col("doc_id").alias("_drop"), F.col("sha").alias("_sha")).distinct(), "dropped")
+    return docs.join(dropped, docs[id_col].eqNullSafe(F.col("_drop")) & (text_sha(docs[text_col].cast("binary")) == F.col("_sha")), "left_anti")

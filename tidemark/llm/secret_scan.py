@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import let, stage
+from .common import let, stage, text_sha
 
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Kinds in the order of the contract: (name, pattern, shortest match, group whose length counts).
@@ -159,17 +159,24 @@ def random_tokens(hits: DataFrame, shares: list[float], level: float, false_shar
     return tested.where(passed & (F.col("bin") >= (10**9 if threshold is None else threshold)))
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = 0.01, false_share: float = 0.01) -> tuple[DataFrame, DataFrame]:
-    """Rows (rid, doc_id), one for each row of ``docs``, and their spans (rid, doc_id, kind, name, start, end); code points, end exclusive."""
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = 0.01, false_share: float = 0.01, digests: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows (rid, doc_id), one for each row of ``docs``, and their spans (rid, doc_id, kind, name, start, end); code points, end exclusive.
+
+    With ``digests`` spans also have the ``sha`` of their text: a row's spans follow from its text and the corpus alone.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = F.concat(*[_matches(text, rank, pattern, group) for rank, (_, pattern, _, group) in enumerate((*KINDS, RANDOM))])
-    rows = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), found.alias("found")), "secret_rows")
-    one = rows.where(F.size("found") > 0).select("rid", "doc_id", F.explode("found").alias("m")).select("rid", "doc_id", "m.*")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), found.alias("found"), text.alias("t"))
+    own = ["rid", "doc_id", *(["sha"] if digests else [])]
+    if digests:
+        rows = rows.withColumn("sha", F.when(F.size("found") > 0, text_sha("t")))
+    rows = stage(rows.select(*own, "found"), "secret_rows")
+    one = rows.where(F.size("found") > 0).select(*own, F.explode("found").alias("m")).select(*own, "m.*")
     upto = F.sum(F.col("gap") + F.length("hit")).over(W.partitionBy("rid", "kind").orderBy("i"))
     placed = one.withColumn("end", upto.cast("long")).withColumn("start", F.col("end") - F.length("hit"))
     shortest = F.element_at(F.array(*[F.lit(k[2]) for k in (*KINDS, RANDOM)]), F.col("kind") + 1)
     placed = stage(placed.where(F.col("n") >= shortest), "secret_hits")
-    columns = ["rid", "doc_id", "kind", "start", "end"]
+    columns = [*own, "kind", "start", "end"]
     base = placed.where(F.col("kind") < len(KINDS)).select(columns)
     random = random_tokens(placed.where(F.col("kind") == len(KINDS)), class_shares(docs, text_col), level, false_share).select(columns)
     # A random token inside what a fixed kind has found says nothing new.
@@ -198,16 +205,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **para
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", **params) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; all rows and columns stay, rows without spans as they are.
 
-    Spans are joined by id: rows that share an id must share their text. ``n_chars``, if there, follows the text.
+    Spans are joined by the digest of the text, so null and repeated ids don't matter. ``n_chars``, if there, follows the text.
     """
-    _, spans = find_spans(docs, id_col, text_col, **params)
-    spans = spans.select("doc_id", "start", "end").distinct()
-    order = W.partitionBy("doc_id").orderBy("start", "end")
+    _, spans = find_spans(docs, id_col, text_col, digests=True, **params)
+    spans = spans.select("sha", "start", "end").distinct()
+    order = W.partitionBy("sha").orderBy("start", "end")
     apart = F.col("start") >= F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
     island = F.sum(apart.cast("int")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    merged = spans.withColumn("island", island).groupBy("doc_id", "island").agg(F.min("start").alias("s"), F.max("end").alias("e"))
-    lists = stage(merged.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_spans")).withColumnRenamed("doc_id", "_span_id"), "redactions")
-    rows = docs.join(lists, docs[id_col].eqNullSafe(F.col("_span_id")), "left")
+    merged = spans.withColumn("island", island).groupBy("sha", "island").agg(F.min("start").alias("s"), F.max("end").alias("e"))
+    lists = stage(merged.groupBy("sha").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_spans")).withColumnRenamed("sha", "_span_sha"), "redactions")
+    rows = docs.join(lists, text_sha(docs[text_col].cast("string")) == F.col("_span_sha"), "left")
     ends = F.transform("_spans", lambda x: x["e"])
     starts = F.concat(F.transform("_spans", lambda x: x["s"]), F.array(F.length(text_col).cast("long")))
     kept = F.transform(starts, lambda s, i: F.substring(F.col(text_col), (F.coalesce(F.get(ends, i - 1), F.lit(0)) + 1).cast("int"), (s - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("int")))
