@@ -23,6 +23,9 @@ other than those named are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,8 +47,8 @@ def whole(x: np.ndarray, scale: int) -> np.ndarray:
         y = np.floor(scale * x)
     if np.abs(y).max(initial=0) < 2**WORD:
         return y.astype(np.int64)
-    # Beyond, x has no fraction or so few bits of one that the product is exact.
-    return np.array([[int(b) if abs(b) < 2**WORD else int(a) * scale for a, b in zip(r, s)] for r, s in zip(x.tolist(), y.tolist())], dtype=object).reshape(x.shape)
+    exact = [[int(b) if abs(b) < 2**WORD else math.floor(Fraction(a) * scale) for a, b in zip(r, s)] for r, s in zip(x.tolist(), y.tolist())]
+    return np.array(exact, dtype=object).reshape(x.shape)
 
 
 def products(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:
