@@ -34,7 +34,22 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None, compression
     schema = df.schema
     if partition_by:  # partition columns come last when read again
         schema = T.StructType([f for f in schema if f.name != partition_by] + [schema[partition_by]])
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the folders of staged tables now.
+
+    Only for tables all of whose readers are themselves written: a lost executor's work is then read, not done again.
+    """
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            spark = df.sparkSession
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
