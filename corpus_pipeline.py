@@ -11,15 +11,19 @@ Each stage takes what its predecessor kept, is written as Parquet and read again
 
 Null texts fail the quality rules; an empty table gives no pieces; additional columns are carried along, whatever their
 names.
+
+What a stage stages for itself stays until the next stage is called, by the same thread and on its written result.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import read, stage
+from tidemark.llm.common import drop, read, reads_only_others, recorded, stage
 from tidemark.llm.exact_dedup import keep_first
 from tidemark.llm.jaccard_join import keep_one
 from tidemark.llm.packing import pack
@@ -27,27 +31,52 @@ from tidemark.llm.quality import passing
 from tidemark.llm.secret_scan import redact
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_HELD = threading.local()
+
+
+def frees_before(step: Stage) -> Stage:
+    """``step`` that first deletes what the stages before it have staged, unless ``docs`` isn't written and still reads it."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        held = getattr(_HELD, "tables", [])
+        if reads_only_others(docs, held):
+            drop(*held)
+            held = []
+        _HELD.tables = held
+        with recorded(held):
+            return step(spark, docs, sf_dir)
+
+    return run
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return passing(docs)
 
 
+@frees_before
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_first(docs)
 
 
+@frees_before
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs)
 
 
+@frees_before
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact(docs)
 
 
+@frees_before
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
@@ -62,5 +91,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline_{name}")
+        before, docs = docs, stage(step(spark, docs, sf_dir), f"pipeline_{name}")
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +40,31 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None, compression
         schema = T.StructType([f for f in schema if f.name != partition_by] + [schema[partition_by]])
     out = spark.read.schema(schema).parquet(path)
     out._staged_at = path
+    for held in _recording():
+        held.append(out)
     return out
 
 
+_LOCAL = threading.local()
+
+
+def _recording() -> list[list[DataFrame]]:
+    if not hasattr(_LOCAL, "lists"):
+        _LOCAL.lists = []
+    return _LOCAL.lists
+
+
+@contextmanager
+def recorded(into: list[DataFrame] | None = None) -> Iterator[list[DataFrame]]:
+    """The tables that this thread stages in the block, for ``drop``."""
+    held: list[DataFrame] = [] if into is None else into
+    _recording().append(held)
+    try:
+        yield held
+    finally:
+        _recording().pop()
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete the folders of staged tables now.
 
@@ -52,6 +78,13 @@ def drop(*frames: DataFrame) -> None:
             hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def reads_only_others(df: DataFrame, frames: list[DataFrame]) -> bool:
+    """Is ``df`` read from files, none of them of one of the staged tables? (A cached table names no files.)"""
+    files = df.inputFiles()
+    paths = [f._staged_at.split("://", 1)[-1].lstrip("/") for f in frames]
+    return bool(files) and not any(p in f for f in files for p in paths)
+
+
 def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """A staged table marked for broadcast if it has at most ``rows`` rows, else as it is (joined by a shuffle)."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import maybe_broadcast, stage
+from .common import drop, maybe_broadcast, recorded, stage
 
 _BLANK = b" \t\n\x0b\x0c\r"
 _WINDOW = 16
@@ -136,7 +136,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept. Only ids of dropped rows are joined."""
-    result = stage(exact_dedup(docs, id_col, text_col).select("doc_id", "n_chars", "text_sha256", "kept"), "kept")
+    with recorded() as made:
+        result = exact_dedup(docs, id_col, text_col).select("doc_id", "n_chars", "text_sha256", "kept")
+    result = stage(result, "kept")
+    drop(*made)
     repeated = stage(result.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_rep")), "repeated")
     dropped = result.where("not kept").select(F.col("doc_id").alias("_drop"))
     own = docs[id_col]

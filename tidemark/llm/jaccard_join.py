@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import components, drop, maybe_broadcast, stage, text_sha
+from .common import components, drop, maybe_broadcast, recorded, stage, text_sha
 
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=_U)
@@ -474,6 +474,7 @@ def jaccard_components(
         region = live(stage(more.select(columns).unionByName(again.select(columns)), "deeper"))
 
     found = stage(_union(links), "links")
+    drop(*sets.frames)
     linked_ids = found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))).distinct()
     group = components(linked_ids, found).withColumnRenamed("id", "rid")
     named = classes.withColumn("low", F.col("first.doc_id")).join(group, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
@@ -513,8 +514,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     A document is an id, null included, with a text: its repeated rows stay or go together, and texts that share an id
     are documents of their own. Texts without words link with nothing and stay.
     """
-    found = jaccard_components(docs, id_col, text_col, digests=True, **params)
+    with recorded() as made:
+        found = jaccard_components(docs, id_col, text_col, digests=True, **params)
     found = stage(found.where("component is not null").select("component", "doc_id", "sha"), "documents")
+    drop(*made)
     mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")
     best = found.groupBy("component").agg(F.min(mine).alias("best"), F.max(mine).alias("last")).where("best <> last")
     best = best.select("component", F.col("best.doc_id").alias("best_id"), F.col("best.sha").alias("best_sha"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import let, stage, text_sha
+from .common import drop, let, recorded, stage, text_sha
 
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Kinds in the order of the contract: (name, pattern, shortest match, group whose length counts).
@@ -207,13 +207,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
     Spans are joined by the digest of the text, so null and repeated ids don't matter. ``n_chars``, if there, follows the text.
     """
-    _, spans = find_spans(docs, id_col, text_col, digests=True, **params)
+    with recorded() as made:
+        _, spans = find_spans(docs, id_col, text_col, digests=True, **params)
     spans = spans.select("sha", "start", "end").distinct()
     order = W.partitionBy("sha").orderBy("start", "end")
     apart = F.col("start") >= F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
     island = F.sum(apart.cast("int")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     merged = spans.withColumn("island", island).groupBy("sha", "island").agg(F.min("start").alias("s"), F.max("end").alias("e"))
     lists = stage(merged.groupBy("sha").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_spans")).withColumnRenamed("sha", "_span_sha"), "redactions")
+    drop(*made)
     rows = docs.join(lists, text_sha(docs[text_col].cast("string")) == F.col("_span_sha"), "left")
     ends = F.transform("_spans", lambda x: x["e"])
     starts = F.concat(F.transform("_spans", lambda x: x["s"]), F.array(F.length(text_col).cast("long")))
