@@ -73,7 +73,7 @@ def plain_components(rows, percent=80):
     return sorted(((d, len(s), min(low[find(i)], default=None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
-@pytest.mark.parametrize("params", [{}, {"leaf": 1, "pivots": 1, "sketch_bits": 14, "broadcast_rows": 0}, {"leaf": 1, "deeper": 0}, {"leaf": 2, "pivots": 3, "deeper": 2}])
+@pytest.mark.parametrize("params", [{}, {"leaf": 1, "pivots": 1, "sketch_bits": 14, "broadcast_rows": 0}, {"leaf": 2, "pivots": 2, "deeper": 2}])
 def test_jaccard(documents, odd, params):
     for df in (documents, odd):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
@@ -90,7 +90,7 @@ def test_jaccard_chains(spark):
             rows.append((100 * family + k, " ".join(own[:20] + own[20 + k : 60] + [f"x{family}y{i}" for i in range(k)])))
     rows += [(1000 + k, " ".join(words[:60] + [f"s{k}t{i}" for i in range(6 + k)])) for k in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for params in ({}, {"leaf": 2, "pivots": 1, "deeper": 1}, {"leaf": 2, "pivots": 2}, {"leaf": 3, "pivots": 1, "deeper": 0}):
+    for params in ({}, {"leaf": 2, "pivots": 1, "deeper": 1}, {"leaf": 2, "pivots": 2, "scouts": 2}):
         assert sorted(map(tuple, jaccard_components(docs, **params).collect()), key=str) == plain_components(rows)
 
 

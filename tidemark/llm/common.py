@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -81,7 +82,7 @@ def drop(*frames: DataFrame) -> None:
 def reads_only_others(df: DataFrame, frames: list[DataFrame]) -> bool:
     """Is ``df`` read from files, none of them of one of the staged tables? (A cached table names no files.)"""
     files = df.inputFiles()
-    paths = [f._staged_at.split("://", 1)[-1].lstrip("/") for f in frames]
+    paths = [re.sub(r"^\w+:/*", "", f._staged_at) for f in frames]
     return bool(files) and not any(p in f for f in files for p in paths)
 
 

@@ -14,9 +14,9 @@ common shingle, within windows longer by k - 1, so rows go on to the regions of
 *Document pivots.* Before that, a large region is cut by ``pivots`` of its documents, the same in all regions where they
 are. Rows within 1 - t of a pivot are its cell and linked to it, hence connected. Rows in no cell go on; of a cell only the boundary goes
 with them: rows whose distance to the pivot is at least the smallest distance beyond the cell, less 1 - t (triangle
-inequality). Regions of which all rows are connected already are done. Rows outside the largest connected part of a region
-are the next pivots, as long as these connect; when few rows are left outside, or near copies that aren't near enough to
-be linked, these are compared with the rest of their region, by tiles.
+inequality). Regions of which all rows are connected already are done. In regions of near copies the rows outside the
+largest connected part then meet other documents of that part, twice as many each round; those still outside in the end,
+or in a region of strangers few, are compared with all of their region, by tiles.
 
 How common a shingle is only orders the pivots; a sketch of bounded size (counts by a part of the hash, over all
 documents) is enough for that, and results don't depend on it. Pairs are first held against counts of shingles by
@@ -138,6 +138,7 @@ def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
     return next(iter(shingle_sets([text], width)))
 
 
+_NEVER = 2**62
 #: Counters of a sketch that move together.
 _PIECE = 1 << 14
 
@@ -354,6 +355,7 @@ def jaccard_components(
     percent: int = 80,
     leaf: int = 32,
     pivots: int = 4,
+    scouts: int = 16,
     deeper: int = 6,
     sketch_bits: int = 22,
     broadcast_rows: int = 1_000_000,
@@ -363,7 +365,8 @@ def jaccard_components(
 
     With ``digests`` also ``sha``, of the row's text, and ``component``, a number that rows without an id have too (null
     for rows without shingles).
-    ``leaf``: rows of a region that is compared pair by pair; ``pivots``: documents that cut a larger one at once;
+    ``leaf``: rows of a region that is compared pair by pair; ``pivots``: documents that cut a larger one at once, at most
+    ``scouts``, the documents that look for what is outside a connected part;
     ``deeper``: how many more shingles a pivot may have (rows of regions that are large then are compared in tiles);
     ``sketch_bits``: 2**sketch_bits counters order the shingles. None changes the result.
     """
@@ -404,12 +407,13 @@ def jaccard_components(
     # The partner of a larger row has at most (1 + t) / t * (n - pos) - n shingles.
     near = F.expr(f"{100 + percent} * (n - pos) - {percent} * n >= {percent} * least")
     first_level = posted.join(maybe_broadcast(some, broadcast_rows), "key").where(F.col("small") | near).drop("least")
-    start = stage(first_level.withColumns({"k": F.lit(1), "component": F.col("rid"), "most": F.lit(-1).cast("long"), "before": F.lit(2**62)}), "region")
+    start = stage(first_level.withColumns({"k": F.lit(1), "component": F.col("rid"), "most": F.lit(-1).cast("long"), "before": F.lit(_NEVER)}), "region")
     region = live(start)
     drop(some, start)
 
     sets = _Sets(texts, classes, width, broadcast_rows)
     links: list[DataFrame] = []
+    asked = scouts
     tiles: DataFrame | None = None
     while True:
         small, big = region.where(F.col("c") <= leaf), region.where(F.col("c") > leaf)
@@ -419,10 +423,14 @@ def jaccard_components(
         cut = not big.isEmpty()
         if cut:
             # Document pivots: the same wherever their documents are, so that pairs repeat and are measured once.
-            order = W.partitionBy("key").orderBy(F.col("component") == F.col("most"), F.xxhash64("rid"), "rid")
-            centre = big.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= pivots)
+            # Where a large part is connected: scouts from it, others each round, to meet the rows outside.
+            fresh = F.col("before") == _NEVER
+            order = W.partitionBy("key").orderBy(F.xxhash64("rid", F.lit(len(links))), "rid")
+            centre = big.where(fresh | (F.col("component") == F.col("most"))).withColumn("nth", F.row_number().over(order))
+            centre = centre.where(F.col("nth") <= F.when(fresh, pivots).otherwise(asked))
             centre = stage(centre.select("key", F.col("rid").alias("p"), F.col("n").alias("pn")), "pivots")
-            cells = stage(big.join(maybe_broadcast(centre, broadcast_rows), "key").where("rid <> p"), "cells")
+            cells = big.where(fresh | (F.col("component") != F.col("most"))).join(maybe_broadcast(centre, broadcast_rows), "key")
+            cells = stage(cells.where("rid <> p"), "cells")
             to = [F.least("rid", "p").alias("a"), F.greatest("rid", "p").alias("b")]
             sizes = [F.when(F.col("rid") < F.col("p"), F.col(x)).otherwise(F.col(y)) for x, y in (("n", "pn"), ("pn", "n"))]
             near = cells.where(_sizes_fit("n", "pn", percent)).select(*to, sizes[0].alias("na"), sizes[1].alias("nb"))
@@ -442,12 +450,12 @@ def jaccard_components(
         at = at.withColumns({"d": F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn")), "linked": F.coalesce("linked", F.lit(False))})
         row = ["key", "rid", "n", "pos", "small", "k", "before"]
         at = at.join(maybe_broadcast(centre.select("key", F.col("p").alias("rid")), broadcast_rows), ["key", "rid"], "left_anti")
-        at = stage(at.select(*row, "p", "d", "linked", "may"), "distances")
+        at = stage(at.where(fresh).select(*row, "p", "d", "linked", "may"), "distances")
         beyond = at.where("not linked").groupBy("key", "p").agg(F.min("d").alias("near"))
         beyond = maybe_broadcast(stage(beyond, "beyond"), broadcast_rows)
         inside = F.col("linked") & (F.col("near").isNull() | (F.col("d") < F.col("near") - (1 - percent / 100) - 1e-9))
         rest = at.join(beyond, ["key", "p"], "left").groupBy(*row).agg(F.max(inside).alias("inside")).where("not inside").drop("inside")
-        rest = stage(rest, "rest")
+        rest = stage(rest.union(big.where(~fresh).select(row)), "rest")
         dense = stage(at.groupBy("key").agg((F.avg(F.col("may").cast("int")) >= 0.5).alias("dense")), "dense")
         drop(cells, at, bounds, known)
         if rest.isEmpty():
@@ -459,17 +467,18 @@ def jaccard_components(
         parts = rest.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("c"), F.max(F.struct("m", "component")).alias("top"))
         parts = parts.select("key", "c", F.col("top.component").alias("most"), (F.col("c") - F.col("top.m")).alias("outside")).where("outside > 0")
         parts = stage(parts.join(dense, "key", "left"), "parts")
-        rest = rest.join(maybe_broadcast(parts, broadcast_rows), "key")
-        # Few outside, or near copies that pivots don't connect any further: these rows against all of their region.
-        # Near copies that they do: pivots again. Strangers: one shingle more.
-        stuck = F.coalesce("dense", F.lit(False)) & (2 * F.col("outside") > F.col("before"))
-        last = (F.col("outside") <= leaf) | stuck | (F.col("k") > deeper)
+        rest = rest.join(maybe_broadcast(parts, broadcast_rows), "key").withColumn("dense", F.coalesce("dense", ~fresh))
+        # Near copies: scouts, twice as many each round, while these are few of the region. Strangers: one shingle more. Few
+        # rows outside, or near copies that scouts haven't connected: against all of their region.
+        few = ~F.col("dense") & ((F.col("outside") <= leaf) | (F.col("k") > deeper))
+        asked *= 2
+        last = few | (F.col("dense") & (4 * asked >= F.col("c")))
         tiles = _tiles(rest.where(last), percent)
         again = rest.where(~last & F.col("dense")).withColumn("before", F.col("outside"))
-        going = rest.where(~last & ~F.coalesce("dense", F.lit(False))).join(reps.select("rid", "prefix"), "rid")
+        going = rest.where(~last & ~F.col("dense")).join(reps.select("rid", "prefix"), "rid")
         more = going.withColumns({"r": reach + F.col("k"), "rs": reach_small + F.col("k"), "from": F.col("pos")}).drop("pos")
         more = more.select("*", F.posexplode("prefix").alias("pos", "s")).where("pos > from and pos <= r")
-        more = more.withColumns({"key": F.xxhash64("key", "s"), "small": F.col("pos") <= F.col("rs"), "k": F.col("k") + 1, "before": F.lit(2**62)})
+        more = more.withColumns({"key": F.xxhash64("key", "s"), "small": F.col("pos") <= F.col("rs"), "k": F.col("k") + 1, "before": F.lit(_NEVER)})
         columns = ["key", "rid", "n", "pos", "small", "k", "component", "most", "before"]
         region = live(stage(more.select(columns).unionByName(again.select(columns)), "deeper"))
 
