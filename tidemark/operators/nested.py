@@ -154,6 +154,65 @@ def truncation_report(df: DataFrame, parent_key: str, fields: Iterable[str]) ->
     return out
 
 
+def _cut_connections(c: Column | None, struct: StructType, path: str, parent: Column) -> list[Column]:
+    """For each connection below a struct that has a page, an array of (field, parent_id, n_nodes): empty if all is there."""
+    out = []
+    for f in struct.fields:
+        value = F.col(f"`{f.name}`") if c is None else c.getField(f.name)
+        here, kind = f"{path}.{f.name}" if path else f.name, f.dataType
+        if isinstance(kind, StructType) and {"edges", "nodes"} & set(kind.names):
+            nodes = unwrap_connection_expr(value, kind)
+            if "pageInfo" in kind.names and "hasNextPage" in kind["pageInfo"].dataType.names:
+                row = F.struct(F.lit(here).alias("field"), parent.cast("string").alias("parent_id"), F.size(nodes).cast("bigint").alias("n_nodes"))
+                out.append(F.when(value.getField("pageInfo").getField("hasNextPage"), F.array(row)))
+            if "nodes" in kind.names:
+                inner = kind["nodes"].dataType.elementType
+            else:
+                inner = kind["edges"].dataType.elementType["node"].dataType
+            out += _in_list(nodes, inner, here, parent)
+        elif isinstance(kind, ArrayType):
+            out += _in_list(value, kind.elementType, here, parent)
+        elif isinstance(kind, StructType):
+            own = value.getField("id") if "id" in kind.names else parent
+            out += _cut_connections(value, kind, here, own)
+    return out
+
+
+def _in_list(items: Column, kind: DataType, path: str, parent: Column) -> list[Column]:
+    if not isinstance(kind, StructType) or not _pages_below(kind):
+        return []
+
+    def of(x: Column) -> Column:
+        parts = _cut_connections(x, kind, path, x.getField("id") if "id" in kind.names else parent)
+        return F.concat(*[F.coalesce(p, F.array().cast(_CUT)) for p in parts])
+
+    return [F.flatten(F.transform(items, of))]
+
+
+_CUT = "array<struct<field:string,parent_id:string,n_nodes:bigint>>"
+
+
+def _pages_below(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _pages_below(kind.elementType)
+    if isinstance(kind, StructType):
+        return any((f.name == "pageInfo") or _pages_below(f.dataType) for f in kind.fields)
+    return False
+
+
+def truncations(df: DataFrame) -> DataFrame | None:
+    """B17 at any depth: (field, parent_id, n_nodes) of every connection whose page says that there is more.
+
+    ``field`` is the path of the connection, ``parent_id`` the id of the node that it belongs to as it was landed. One
+    pass over the rows, however many connections the schema has; None if it has none.
+    """
+    parts = _cut_connections(None, df.schema, "", F.col("id") if "id" in df.columns else F.lit(None))
+    if not parts:
+        return None
+    found = F.concat(*[F.coalesce(p, F.array().cast(_CUT)) for p in parts])
+    return df.select(F.explode(found).alias("__x")).select("__x.*")
+
+
 # ---------------------------------------------------------------------------------------------
 # B11 schema-wide id normalisation
 # ---------------------------------------------------------------------------------------------

@@ -295,3 +295,17 @@ def typed_projection(df: DataFrame, columns: Sequence[tuple[str, str]],
             v = F.when(v.isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {name}"))).otherwise(v)
         out.append(v.alias(name))
     return df.select(*out)
+
+
+def conform(df: DataFrame, declared: StructType, extras: bool = True) -> DataFrame:
+    """The declared columns in order, absent ones as typed NULLs, others cast; then, if ``extras``, what else ``df`` has."""
+    have, out = dict(df.dtypes), []
+    for f in declared.fields:
+        kind = f.dataType.simpleString()
+        if f.name not in have:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            out.append((_c(f.name) if have[f.name] == kind else typed_value(_c(f.name), kind)).alias(f.name))
+    known = set(declared.names)
+    more = [_c(c) for c in df.columns if c not in known and (extras or c.startswith("__"))]
+    return df.select(*out, *more)

@@ -47,6 +47,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--buckets", type=int, default=256)
     ap.add_argument("--orphans", default="keep", choices=["keep", "delete"],
                     help="children of re-loaded parents missing from the new load: keep (default) or delete")
+    ap.add_argument("--daily-backfill", nargs=2, metavar=("FIRST", "LAST"), default=None, help="load these whole days of the paged resources")
+    ap.add_argument("--replay", action="store_true", help="two-phase replay: the days 10 to 2 days ago, then from the cursors left by that")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "orc"], help="file format of new tables")
+    ap.add_argument("--catalog", default=None, help="also save the loaded tables under this database of the session's catalog")
+    ap.add_argument("--schema-contract", default="evolve", choices=["evolve", "freeze"])
     ap.add_argument("--secret-env", default="PII_HASH_SECRET")
     ap.add_argument("--allow-unkeyed-hash", action="store_true")
     return ap.parse_args(argv)
@@ -58,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     secret = os.environ.get(a.secret_env) or None
     if secret is None and not a.allow_unkeyed_hash:
         raise SystemExit(f"{a.secret_env} is not set; pass --allow-unkeyed-hash to hash without a key")
-    store = TableStore.for_dataset(spark, a.store, a.dataset, a.dev_mode, buckets=a.buckets)
+    store = TableStore.for_dataset(spark, a.store, a.dataset, a.dev_mode, buckets=a.buckets, fmt=a.format)
     resources = PRESETS[a.mode]
     shop_id = a.shop_id
     if shop_id is None:
@@ -86,11 +91,21 @@ def main(argv: list[str] | None = None) -> None:
             windows = jobs.load_windows(store, resources, shop_id, now, a.lookback_days, a.start, a.end, days)
         for r, w in windows.items():
             print(f"{r}: {w.start.isoformat()} to {w.end.isoformat()}")
-    report = jobs.run(store, read_landed(spark, a.landing, resources), resources, shop_id=shop_id, secret=secret,
-                      batch_id=load_id, orphans=a.orphans, windows=windows)
+    landed = read_landed(spark, a.landing, resources)
+    options = {"shop_id": shop_id, "secret": secret, "orphans": a.orphans, "contract": a.schema_contract}
+    if a.daily_backfill:
+        report = jobs.backfill(store, landed, resources, *a.daily_backfill, batch_id=load_id, **options)
+    elif a.replay:
+        first, report = jobs.replay_resources(store, landed, resources, now, **options)
+        jobs.record_load(store, first, f"{load_id}-first", now)
+    else:
+        report = jobs.run(store, landed, resources, batch_id=load_id, windows=windows, **options)
     if bulk is not None:
         report.results.update(bulk.tables)
     jobs.record_load(store, report, load_id, now)
+    if a.catalog:
+        for table in report.results:
+            store.export(table, f"{a.catalog}.`{table}`")
 
 
 if __name__ == "__main__":

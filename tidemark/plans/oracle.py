@@ -352,4 +352,44 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'event', 'merged', count(*) FROM events WHERE event_type <> 'error'""",
     "incremental_load": """
         SELECT c_custkey AS id, TIMESTAMP '2024-01-01' + c_nationkey * INTERVAL 1 DAY AS updated_at FROM customer WHERE c_nationkey >= 2""",
+    "bulk_relanded": f"""WITH {LINES},
+        o AS (SELECT * FROM orders WHERE o_orderdate >= {_MERGE_CUT} AND o_orderdate <= {_ts(QY.BULK_WINDOW[1])}),
+        l AS (SELECT *, {LINE_ID} AS id, l_returnflag = 'R' AS returned FROM li WHERE l_orderkey IN (SELECT o_orderkey FROM o)),
+        c AS (SELECT 'order' AS table_name, o_orderkey AS k, round(o_totalprice * 100) AS v, 1 AS n FROM o
+              UNION ALL SELECT 'order__line_items', id, l_quantity, 1 FROM l
+              UNION ALL SELECT unnest(['order__line_items__tax_lines', 'order__line_items__custom_attributes']), id, 0, 2 FROM l
+              UNION ALL SELECT 'order__line_items__discount_allocations', id, 0, 1 FROM l WHERE l_discount > 0
+              UNION ALL SELECT 'order__refunds', id, 0, 1 FROM l WHERE returned
+              UNION ALL SELECT 'order__refunds__refund_line_items', id, l_quantity, 1 FROM l WHERE returned
+              UNION ALL SELECT 'order__refunds__order_adjustments', id, 0, 1 FROM l WHERE returned AND l_discount > 0.05
+              UNION ALL SELECT unnest(['order__discount_applications', 'order__tax_lines']), l_orderkey, 0, 1 FROM l
+              UNION ALL SELECT DISTINCT unnest(['order__shipping_lines', 'order__shipping_lines__tax_lines']), l_orderkey, 0, 1 FROM l)
+        SELECT table_name, sum(n)::BIGINT AS n_rows, sum(n)::BIGINT AS n_keys, sum(n * k)::BIGINT AS key_sum, sum(v)::BIGINT AS value_sum
+        FROM c GROUP BY table_name""",
+    "load_checksums": f"""WITH {_TAGS}, w AS (SELECT p_partkey, unnest(w) AS x FROM t),
+        c AS (SELECT 'customer' AS table_name, c_custkey AS k, length(sha256(c_mktsegment)) AS v FROM customer
+              UNION ALL SELECT 'customer__tags', c_custkey, unnest([length(c_mktsegment), length('nation_' || c_nationkey)]) FROM customer
+              UNION ALL SELECT 'product', p_partkey, length(p_name) FROM part
+              UNION ALL SELECT 'product__tags', p_partkey, length(x) FROM w
+              UNION ALL SELECT 'product__images', p_partkey, p_size * 10 FROM part
+              UNION ALL SELECT 'product__options', p_partkey * 10 + unnest([1, 2, 3]), unnest([5, 4, 5]) FROM part
+              UNION ALL SELECT 'product__options__option_values', p_partkey * 10 + unnest([1, 2]), unnest([length(p_brand), length(p_type)]) FROM part
+              UNION ALL SELECT 'product__options__option_values', p_partkey * 10 + 3, length(x) FROM w
+              UNION ALL SELECT 'product__variants', p_partkey, round(p_retailprice * 100) FROM part
+              UNION ALL SELECT 'product__variants__selected_options', p_partkey, unnest([length(p_brand), length(p_size::VARCHAR)]) FROM part
+              UNION ALL SELECT 'collection', p_partkey, length(p_type || ' ' || p_size) FROM part
+              UNION ALL SELECT 'collection__rules', p_partkey, unnest([length(p_type), length(p_brand)]) FROM part WHERE p_size % 2 = 0)
+        SELECT table_name, count(*) AS n_rows, count(*) AS n_keys, sum(k)::BIGINT AS key_sum, sum(v)::BIGINT AS value_sum FROM c GROUP BY table_name""",
+    "cast_failures": """
+        SELECT 'customer' AS table_name, 'cast created_at' AS reason, count(*) AS n_rows FROM customer WHERE c_nationkey = 3
+        UNION ALL SELECT 'customer', 'cast total_spent', count(*) FROM customer WHERE c_nationkey = 4
+        UNION ALL SELECT 'customer', 'NULL primary key', count(*) FROM customer WHERE c_nationkey = 7
+        UNION ALL SELECT 'customer__tags', 'NULL primary key', 2 * count(*) FROM customer WHERE c_nationkey = 7""",
+    "replay_load": """
+        SELECT c_custkey AS id, TIMESTAMP '2024-01-01' + c_nationkey * INTERVAL 1 DAY AS updated_at, sha256(c_mktsegment) AS note
+        FROM customer WHERE c_nationkey BETWEEN 9 AND 19""",
+    "backfill_load": """
+        SELECT 'customers' AS resource, d::DATE AS day, count(c_custkey) AS n_roots, count(c_custkey) AS n_loaded
+        FROM range(DATE '2024-01-05', DATE '2024-01-31', INTERVAL 1 DAY) AS r(d)
+        LEFT JOIN customer ON DATE '2024-01-01' + c_nationkey::INT = d::DATE GROUP BY ALL""",
 }

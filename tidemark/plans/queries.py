@@ -29,6 +29,7 @@ from ..sources.store import TableStore
 from ..streaming import stream as ST
 from . import feeds, jobs
 from . import resources as R
+from .specs import TABLES
 
 SHOP_ID = 1
 HMAC_TEST_KEY = "tidemark-test-key"
@@ -680,6 +681,89 @@ def incremental_load(spark, sf):
     return store.read("customer").select("id", _ntz("updated_at").alias("updated_at"))
 
 
+def bulk_relanded(spark, sf):
+    """Payloads of one id landed three times: the newest by ``updatedAt``, then by the file, is loaded, once, into all 12 tables."""
+    _ctx(spark)
+    store = _store(spark)
+    nodes = feeds.order_nodes(spark, sf)
+    landed = lambda df, day: df.withColumn(scans.LANDED, F.struct(F.lit(f"2024-01-0{day}").cast("timestamp").alias("file_modification_time"), F.lit(f"f{day}").alias("file_path")))
+    stale = landed(nodes.withColumns({"updatedAt": F.lit("1990-01-01T00:00:00Z"), "totalPrice": F.lit("0.5"), "refunds": F.lit(None).cast(nodes.schema["refunds"].dataType)}), 3)
+    earlier = landed(nodes.withColumn("totalPrice", F.lit("0.25")), 1)
+    prior = scans.snapshot_scan(feeds.order_snapshot_lines(spark, sf)).where(
+        F.col("updated_at") < F.lit(MERGE_CUT.isoformat(sep=" ")).cast("timestamp")).select("gid", "updated_at")
+    store.merge(jobs.manifest_table(SHOP_ID), prior, ["gid"])
+    window = W.Window(W.utc(BULK_WINDOW[0]), W.utc(BULK_WINDOW[1]))
+    report = jobs.load_orders_bulk(store, feeds.order_snapshot_lines(spark, sf), earlier.unionByName(landed(nodes, 2)).unionByName(stale), window, shop_id=SHOP_ID)
+    values = {"order": F.round(F.col("total_price") * 100).cast("bigint"), "order__line_items": F.col("quantity"), "order__refunds__refund_line_items": F.col("quantity")}
+    return _checksums(store, sorted(report.tables), values)
+
+
+def _checksums(store: TableStore, tables: list[str], values: dict[str, Column]) -> DataFrame:
+    """(table_name, n_rows, n_keys, key_sum, value_sum) of each table; keys by the first column after the tenant's."""
+    parts = []
+    for name in tables:
+        pk = TABLES[name].pk
+        parts.append(store.read(name).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*pk).alias("n_keys"),
+            F.sum(pk[1]).cast("bigint").alias("key_sum"), F.coalesce(F.sum(values.get(name, F.lit(0))), F.lit(0)).cast("bigint").alias("value_sum")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def load_checksums(spark, sf):
+    """Customers, products and collections through the load, each table by value."""
+    _ctx(spark)
+    store = _store(spark)
+    landed_nodes = {"customers": feeds.customer_nodes(spark, sf), "products": feeds.product_nodes(spark, sf), "collections": feeds.collection_nodes(spark, sf)}
+    report = jobs.run(store, landed_nodes, list(landed_nodes), shop_id=SHOP_ID)
+    length = lambda c: F.length(c).cast("bigint")
+    values = {"customer": length("note"), "customer__tags": length("value"), "product": length("title"), "product__tags": length("value"),
+              "product__options": length("name"), "product__options__option_values": length("name"), "product__images": F.col("width"),
+              "product__variants": F.round(F.col("price") * 100).cast("bigint"), "product__variants__selected_options": length("value"),
+              "collection": length("title"), "collection__rules": length("condition")}
+    return _checksums(store, sorted(report.results), values)
+
+
+def cast_failures(spark, sf):
+    """Text that can't be cast is counted by column, rows without a required column are kept apart; both by the load itself."""
+    _ctx(spark)
+    store = _store(spark)
+    nation = F.col("tags")[1]
+    nodes = feeds.customer_nodes(spark, sf).withColumns({
+        "createdAt": F.when(nation == "nation_3", F.lit("soon")).otherwise(F.col("createdAt")),
+        "amountSpent": F.when(nation == "nation_4", F.col("amountSpent").withField("amount", F.lit("n/a"))).otherwise(F.col("amountSpent")),
+        "id": F.when(nation == "nation_7", F.lit("gid://shop/Customer/none")).otherwise(F.col("id")),
+    })
+    jobs.run(store, {"customers": nodes}, ["customers"], shop_id=SHOP_ID)
+    casts = store.read("_cast_failures").select("table_name", F.concat(F.lit("cast "), "column_name").alias("reason"), "n_rows")
+    rejects = store.read("_rejects").groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return casts.unionByName(rejects)
+
+
+REPLAY_NOW = datetime(2024, 1, 20)
+BACKFILL_RUNS = ((datetime(2024, 1, 5), datetime(2024, 1, 7)), (datetime(2024, 1, 6), datetime(2024, 1, 30)))
+
+
+def replay_load(spark, sf):
+    """Two-phase replay of a resource through its stored cursor."""
+    _ctx(spark)
+    store = _store(spark)
+    jobs.replay_resources(store, {"customers": feeds.customer_nodes(spark, sf)}, ["customers"], W.utc(REPLAY_NOW), shop_id=SHOP_ID)
+    return store.read("customer").select("id", _ntz("updated_at").alias("updated_at"), "note")
+
+
+def backfill_load(spark, sf):
+    """Two daily backfills whose days overlap: each day once, empty days counted as such."""
+    _ctx(spark)
+    store = _store(spark)
+    for first, last in BACKFILL_RUNS:
+        jobs.backfill(store, {"customers": feeds.customer_nodes(spark, sf)}, ["customers"], first, last, shop_id=SHOP_ID)
+    loaded = store.read("customer").groupBy(F.to_date("updated_at").alias("day")).agg(F.count(F.lit(1)).alias("n_loaded"))
+    return store.read(jobs.BACKFILLS).join(loaded, "day", "left").select("resource", "day", "n_roots", F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"))
+
+
 def stream_change_detect(spark, sf):
     _ctx(spark)
     store = _store(spark)
@@ -756,4 +840,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup_late": stream_dedup_late,
     "reject_report": reject_report,
     "incremental_load": incremental_load,
+    "bulk_relanded": bulk_relanded,
+    "load_checksums": load_checksums,
+    "cast_failures": cast_failures,
+    "replay_load": replay_load,
+    "backfill_load": backfill_load,
 }

@@ -8,10 +8,11 @@ line items, not from the order root), and every table carries ``shop_id``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.timefmt import money_amount, parse_instant
 from ..naming import snake_case
@@ -19,6 +20,9 @@ from ..functions.ids import gid_to_long
 from ..operators.nested import explode_child, flatten, normalize_ids, unwrap_connection_expr, unwrap_connections
 from ..operators.normalize import (classify_collections, discount_value_fields, flatten_customer_contact,
                                    flatten_order_customer_spend, normalize_discount_applications, shop_profile)
+from ..sources import raw_schema as RS
+from ..sources.store import FAILED_COL
+from .specs import TABLES
 from ..operators.privacy import (CUSTOMER_PII_PATHS, ORDER_PII_PATHS, REFUND_PII_PATHS, hash_pii_paths,
                                  nested_paths)
 
@@ -41,9 +45,13 @@ def _stamp(df: DataFrame, shop_id: int | Column, loaded_at: Column | None) -> Da
         "_loaded_at", loaded_at if loaded_at is not None else F.current_timestamp())
 
 
+#: Set while a load builds its tables: ``finish`` then lists the columns of a row whose text can't be cast.
+TRACK_CASTS: ContextVar[bool] = ContextVar("track_casts", default=False)
+
+
 def finish(df: DataFrame) -> DataFrame:
     """Type rules on flattened text columns: ``*_at`` -> timestamp, decimal text -> double."""
-    cols = []
+    cols, failed = [], []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         last = f.name.split("__")[-1]
@@ -51,7 +59,14 @@ def finish(df: DataFrame) -> DataFrame:
             c = parse_instant(c)
         elif isinstance(f.dataType, StringType) and last in DECIMAL_TEXT_FIELDS:
             c = money_amount(c)
+        else:
+            cols.append(c.alias(f.name))
+            continue
+        text = F.col(f"`{f.name}`")
+        failed.append(F.when((F.trim(text) != "") & c.isNull(), F.lit(f.name)))
         cols.append(c.alias(f.name))
+    if failed and TRACK_CASTS.get():
+        cols.append(F.array_compact(F.array(*failed)).alias(FAILED_COL))
     return df.select(*cols)
 
 
@@ -230,3 +245,27 @@ def bridge_table(bridge_rows: DataFrame, shop_id: int | Column) -> dict[str, Dat
 
 def shop_table(shop_nodes: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
     return {"shop": finish(shop_profile(shop_nodes, loaded_at))}
+
+
+def declared(spark: SparkSession) -> dict[str, StructType]:
+    """The columns and types of the 25 tables: what the rules above make of the raw read schemas.
+
+    Keys, links to the parent and the tenant are not nullable. Nothing is run: the frames are empty.
+    """
+    def empty(ddl: str) -> DataFrame:
+        return spark.createDataFrame([], ddl)
+
+    stamp = F.lit(None).cast("timestamp")
+    norms = (customer_tables(normalize_customers(empty(RS.CUSTOMER_NODE), 0, stamp)),
+             product_tables(normalize_products(empty(RS.PRODUCT_NODE), 0, stamp)),
+             collection_tables(normalize_collections(empty(RS.COLLECTION_NODE), 0, stamp)),
+             bridge_table(empty("collectionId bigint, productId bigint, _loaded_at timestamp"), 0),
+             shop_table(empty(RS.shop_envelope_schema()).select("data.shop.*"), stamp))
+    tables = dict(order_tables(empty(RS.ORDER_NODE), 0, stamp))
+    for t in norms:
+        tables.update(t)
+    out = {}
+    for name, df in tables.items():
+        required = {*TABLES[name].pk, *TABLES[name].fk}
+        out[name] = StructType([StructField(f.name, f.dataType, f.name not in required) for f in df.schema.fields])
+    return out

@@ -43,7 +43,7 @@ def read_resource(spark: SparkSession, root: str, resource: str, on_missing: str
     if resource == "order_snapshots":
         return _lines(spark, root, resource)
     if resource == "order_payloads":
-        return scans.payload_scan(_lines(spark, root, resource), RS.ORDER_NODE)
+        return scans.payload_scan(scans.landed_at(_lines(spark, root, resource)), RS.ORDER_NODE)
     raise ValueError(f"unknown resource {resource}")
 
 

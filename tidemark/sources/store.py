@@ -9,13 +9,16 @@ Layout of one table::
   attempt uses, the commit file last (create-if-absent). A job that fails before its commit leaves the previous
   version as it was and one folder that nothing names (``vacuum`` removes it); the retry writes a folder of its own.
 * Two writers can't commit the same version: the second one's commit fails, and it merges again on top of the first.
-* ``merge`` buckets rows by ranges of the leading key column if that is a whole number (ids grow with time, so recent
-  changes share few buckets, and new ids open new ones), else by hash. The layout is decided by the first merge and
-  kept in the commit. A merge rewrites the buckets that hold a key of the delta, no others; live rows are only
+* ``merge`` buckets rows by ranges of the first whole-number key column that varies, within the values of the constant
+  ones before it (a tenant's id); ids grow with time, so recent changes share few buckets, and new ids open new ones.
+  Without such a column rows are hashed. The layout is decided by the first merge and kept in the commit. A merge rewrites the buckets that hold a key of the delta, no others; live rows are only
   filtered against the delta's keys, never sorted.
 * ``batch_id`` makes a write idempotent: its digest is part of the folder's name, so an applied batch is found by one
   listing even if its marker is lost.
-* Rows with a NULL in the primary key go to the table ``_rejects``, counted, instead of the merge.
+* Rows with a NULL in the primary key or another required column go to the table ``_rejects``, counted, instead of the
+  merge; texts that a load could not cast are counted by column in ``_cast_failures``. All counts of a delta are observed
+  while it is written.
+* Data files are Parquet or ORC, one format a table.
 """
 
 from __future__ import annotations
@@ -27,13 +30,17 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import dedupe_by_pk
 
 BUCKET_COL = "__bucket"
 REJECTS = "_rejects"
+CAST_FAILURES = "_cast_failures"
+#: Column of a delta that lists the columns whose text could not be cast; not stored.
+FAILED_COL = "__failed"
+FORMATS = ("parquet", "orc")
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -101,18 +108,21 @@ class _FS:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, fmt: str = "parquet"):
+        if fmt not in FORMATS:
+            raise ValueError(f"format must be one of {FORMATS}")
         self.spark = spark
+        self.fmt = fmt
         self.root = root.rstrip("/")
         self.buckets = int(buckets)
         self.fs = _FS(spark)
 
     @classmethod
     def for_dataset(cls, spark: SparkSession, root: str, dataset: str, dev_mode: bool = False,
-                    buckets: int = 16) -> "TableStore":
+                    buckets: int = 16, fmt: str = "parquet") -> "TableStore":
         """A10: one namespace per dataset; ``dev_mode`` isolates a run in its own suffixed dataset."""
         name = f"{dataset}_dev_{uuid.uuid4().hex[:8]}" if dev_mode else dataset
-        return cls(spark, f"{root.rstrip('/')}/{name}", buckets)
+        return cls(spark, f"{root.rstrip('/')}/{name}", buckets, fmt)
 
     # -- commit log -------------------------------------------------------------------------------
 
@@ -145,7 +155,7 @@ class TableStore:
         return f"{self._tdir(table)}/_batches/{self._digest(batch_id)}"
 
     def _commit(self, table: str, info: dict) -> None:
-        info = {**info, "committed_at": time.time()}
+        info = {**info, "format": self._format(table), "committed_at": time.time()}
         path = f"{self._tdir(table)}/_log/{info['version']}.json"
         if info.get("batch_id"):  # names the commit to look at; says nothing until that commit holds this batch
             self.fs.write_new(self._marker(table, info["batch_id"]), str(info["version"]), overwrite=True)
@@ -156,6 +166,11 @@ class TableStore:
                 raise CommitConflict(f"{table}: version {info['version']} was committed by another writer") from e
             raise
 
+    def _format(self, table: str) -> str:
+        """The format of a table's files: that of its first commit, else the store's."""
+        info = self.commit_info(table)
+        return info.get("format", "parquet") if info else self.fmt
+
     def _folder(self, version: int, batch_id: str | None) -> str:
         return f"v={version}-{uuid.uuid4().hex[:8]}-{self._digest(batch_id)}"
 
@@ -172,33 +187,59 @@ class TableStore:
         schema = info.get("schema")
         if not paths:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read
+        reader = self.spark.read.format(info.get("format", "parquet"))
         if schema:
             reader = reader.schema(schema)
-        return reader.parquet(*paths)
+        return reader.load(paths)
+
+    def read_for_keys(self, table: str, keys: DataFrame) -> DataFrame:
+        """The rows of the buckets that may hold one of ``keys`` (rows with the key columns); all rows of a table without buckets."""
+        info = self.commit_info(table)
+        if info is None:
+            raise FileNotFoundError(f"table {table} has no commits under {self.root}")
+        if "buckets" not in info:
+            return self.read(table)
+        touched = {str(r[0]) for r in keys.select(self._bucket(info["layout"])).distinct().collect()}
+        paths = [f"{self._tdir(table)}/{path}" for b, path in sorted(info["buckets"].items()) if b in touched]
+        if not paths:
+            return self.spark.createDataFrame([], info["schema"])
+        return self.spark.read.format(info.get("format", "parquet")).schema(info["schema"]).load(paths)
+
+    def export(self, table: str, name: str, partition_by: Sequence[str] = ()) -> None:
+        """The table's current rows as a table of the session's catalog (replaced as a whole)."""
+        writer = self.read(table).write.format(self._format(table)).mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
     # -- writes -------------------------------------------------------------------------------------
 
     def _bucket(self, layout: dict) -> Column:
         if layout["kind"] == "range":
-            lead = F.col(f"`{layout['pk'][0]}`").cast("long")
-            return F.floor(lead / F.lit(layout["width"])).cast("long")
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in layout["pk"]]), F.lit(layout["buckets"])).cast("long")
+            on = F.col(f"`{layout.get('on', layout['pk'][0])}`").cast("long")
+            lead = [F.col(f"`{c}`").cast("string") for c in layout.get("lead", [])]
+            return F.concat_ws("_", *lead, F.floor(on / F.lit(layout["width"])).cast("string"))
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in layout["pk"]]), F.lit(layout["buckets"])).cast("string")
 
     def _layout(self, df: DataFrame, pk: list[str]) -> dict:
-        """Ranges of the leading key if it is a whole number, as wide as gives ``buckets`` ranges now; else hashes."""
-        if df.schema[pk[0]].dataType.simpleString() in _WHOLE:
-            lead = F.col(f"`{pk[0]}`").cast("long")
-            r = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
-            if r["lo"] is not None:
-                return {"kind": "range", "pk": pk, "width": max(1, -(-(r["hi"] - r["lo"] + 1) // self.buckets))}
+        """Ranges of the first whole-number key column that varies, as wide as gives ``buckets`` ranges now; else hashes."""
+        whole = []
+        for k in pk:  # the columns before the ranged one have one value each: whole numbers too
+            if df.schema[k].dataType.simpleString() not in _WHOLE:
+                break
+            whole.append(k)
+        if whole:
+            ends = [f(F.col(f"`{k}`").cast("long")).alias(f"{n}{i}") for i, k in enumerate(whole) for n, f in (("lo", F.min), ("hi", F.max))]
+            r = df.agg(*ends).first()
+            if r["lo0"] is not None:
+                at = next((i for i in range(len(whole)) if r[f"lo{i}"] < r[f"hi{i}"]), len(whole) - 1)
+                return {"kind": "range", "pk": pk, "lead": whole[:at], "on": whole[at], "width": max(1, -(-(r[f"hi{at}"] - r[f"lo{at}"] + 1) // self.buckets))}
         return {"kind": "hash", "pk": pk, "buckets": self.buckets}
 
     def _write(self, df: DataFrame, path: str, by_bucket: bool) -> None:
+        fmt = self._format(path[len(self.root) + 1 :].split("/")[0])
         if by_bucket:
-            df.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL).mode("errorifexists").parquet(path)
+            df.hint("rebalance", BUCKET_COL).write.format(fmt).partitionBy(BUCKET_COL).mode("errorifexists").save(path)
         else:
-            df.write.mode("errorifexists").parquet(path)
+            df.write.format(fmt).mode("errorifexists").save(path)
 
     def _written(self, table: str, folder: str) -> dict[str, str]:
         names = self.fs.list_names(f"{self._tdir(table)}/{folder}")
@@ -244,7 +285,7 @@ class TableStore:
 
     def merge(self, table: str, df: DataFrame, pk: Sequence[str], prefer: Sequence[Column] = (),
               batch_id: str | None = None, unique: bool = False, reloaded_parents: DataFrame | None = None,
-              keep_newer: bool = False) -> MergeResult:
+              keep_newer: bool = False, not_null: Sequence[str] = ()) -> MergeResult:
         """A7/D3 + E2: upsert ``df`` by ``pk``, rewriting only the buckets that hold its keys.
 
         Among delta rows of one key the greatest ``prefer`` tuple wins, then the greatest full row; ``unique`` says that
@@ -259,18 +300,28 @@ class TableStore:
             c = done.get("counts", {})
             return MergeResult(table, done["version"], c.get("rows_in", 0), c.get("inserted", 0), c.get("updated", 0), True)
         pk = list(pk)
-        # The delta is written once: it is counted, deduplicated and joined from there, never recomputed.
+        # The delta is written once, and counted meanwhile: it is deduplicated and joined from there, never recomputed.
         stage = f"{self._tdir(table)}/_delta/{uuid.uuid4().hex}"
-        df.write.parquet(stage)
+        missing = F.lit(False)
+        for k in dict.fromkeys([*pk, *not_null]):
+            missing = missing | F.col(f"`{k}`").isNull()
+        failed = F.coalesce(F.size(FAILED_COL), F.lit(0)) if FAILED_COL in df.columns else F.lit(0)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("bad"), F.sum(failed).alias("failed")).write.parquet(stage)
+        sizes = seen.get
         try:
             staged = self.spark.read.schema(df.schema).parquet(stage)
-            keyed = F.lit(True)
-            for k in pk:
-                keyed = keyed & F.col(f"`{k}`").isNotNull()
-            sizes = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(~keyed).alias("bad")).first()
+            if sizes["failed"]:
+                columns = staged.select(F.explode(FAILED_COL).alias("column_name")).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rows"))
+                self.append(CAST_FAILURES, columns.select(F.lit(table).alias("table_name"), "column_name", "n_rows"), batch_id=f"{batch_id}:casts:{table}" if batch_id else None)
+            staged = staged.drop(FAILED_COL)
             if sizes["bad"]:
-                self._reject(table, staged.where(~keyed), "NULL primary key", batch_id)
-            delta = staged.where(keyed) if sizes["bad"] else staged
+                null_key = F.lit(False)
+                for k in pk:
+                    null_key = null_key | F.col(f"`{k}`").isNull()
+                other = F.concat(F.lit("NULL in "), F.concat_ws(", ", *[F.when(F.col(f"`{k}`").isNull(), F.lit(k)) for k in not_null]))
+                self._reject(table, staged.where(missing), F.when(null_key, F.lit("NULL primary key")).otherwise(other), batch_id)
+            delta = staged.where(~missing) if sizes["bad"] else staged
             for _ in range(5):
                 try:
                     return self._merge(table, delta, pk, prefer, batch_id, unique, reloaded_parents, keep_newer, sizes)
@@ -280,9 +331,9 @@ class TableStore:
         finally:
             self.fs.delete(stage)
 
-    def _reject(self, table: str, rows: DataFrame, reason: str, batch_id: str | None) -> None:
+    def _reject(self, table: str, rows: DataFrame, reason: Column, batch_id: str | None) -> None:
         text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
-        out = rows.select(F.lit(table).alias("table_name"), F.lit(reason).alias("reason"), text.alias("row"))
+        out = rows.select(F.lit(table).alias("table_name"), reason.alias("reason"), text.alias("row"))
         self.append(REJECTS, out, batch_id=f"{batch_id}:rejects:{table}" if batch_id else None)
 
     def _merge(self, table, delta, pk, prefer, batch_id, unique, reloaded_parents, keep_newer, sizes) -> MergeResult:
@@ -299,7 +350,7 @@ class TableStore:
         live: dict[str, str] = {}
         data, n_winners = winners, delta.count() if unique else delta.select(*keys).distinct().count()
         if prev is not None:
-            reader = self.spark.read.schema(schema)
+            reader = self.spark.read.format(prev.get("format", "parquet")).schema(schema)
             live, everything = dict(prev.get("buckets") or {}), [f"{self._tdir(table)}/{p}" for p in prev["paths"]]
             touched = delta.select(self._bucket(layout).alias(BUCKET_COL))
             gone = None
@@ -307,13 +358,13 @@ class TableStore:
                 gone = reloaded_parents.dropDuplicates()
                 fk = gone.columns
                 if everything:
-                    hit = reader.parquet(*everything).select(*dict.fromkeys([*fk, *pk])).join(gone, fk, "left_semi")
+                    hit = reader.load(everything).select(*dict.fromkeys([*fk, *pk])).join(gone, fk, "left_semi")
                     touched = touched.union(hit.select(self._bucket(layout)))
             touched = {str(r[0]) for r in touched.distinct().collect()}
             # After a replace or append there are no buckets yet: all of the table is laid out now.
             old = [f"{self._tdir(table)}/{live[b]}" for b in sorted(touched) if b in live] if "buckets" in prev else everything
             if old:
-                rows = reader.parquet(*old)
+                rows = reader.load(old)
                 if keep_newer and prefer:
                     mine = winners.select(*keys, F.struct(*prefer).alias("__mine"))
                     theirs = rows.select(*keys, F.struct(*prefer).alias("__theirs"))
@@ -336,7 +387,7 @@ class TableStore:
                 live.pop(b, None)
             if "buckets" not in prev:
                 live = {}
-            known = {f.name for f in reader.parquet(*everything).schema} if everything else set()
+            known = {f.name for f in reader.load(everything).schema} if everything else set()
             extra = [f for f in delta.schema if f.name not in known]
             schema = ", ".join([schema, *[f"`{f.name}` {f.dataType.simpleString()}" for f in extra]]) if known else _ddl(delta)
         counts["inserted"] = n_winners - counts["updated"]

@@ -57,29 +57,46 @@ def stream_dedup(stream: DataFrame, store: TableStore, table: str, keys: Sequenc
                  prefer: Sequence[str] = ()) -> None:
     """The first delivery of a key is stored, later ones are dropped, however late rows arrive.
 
-    The table itself is the memory: a micro-batch is reduced to one row a key, rows whose key is stored already
-    (a scan of the key columns) go, the rest is merged. No watermark, so no late row is lost.
+    The table itself is the memory: a micro-batch is reduced to one row a key, rows whose key is stored already go, the
+    rest is merged. Only the key ranges that the micro-batch touches are read for that, not all stored keys. No
+    watermark, so no late row is lost.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         new = dedupe_by_pk(batch, list(keys), [F.col(p) for p in prefer])
         if store.exists(table):
-            new = new.join(store.read(table).select(*keys), list(keys), "left_anti").select(*batch.columns)
+            known = store.read_for_keys(table, batch.select(*keys).where(F.col(f"`{keys[0]}`").isNotNull()))
+            new = new.join(known.select(*keys), list(keys), "left_anti").select(*batch.columns)
         store.merge(table, new.select(*batch.columns), list(keys), batch_id=_batch_tag(checkpoint, batch_id), unique=True)
 
     _run(stream, sink, checkpoint, f"dedup_{table}")
 
 
 def stream_change_detect(stream: DataFrame, store: TableStore, manifest_table: str, changes_table: str,
-                         key: str, ts: str, order: Sequence[Column], checkpoint: str) -> None:
+                         key: str, ts: str, order: Sequence[Column], checkpoint: str, keep_days: int | None = None) -> None:
     """Per micro-batch, latest snapshot per key -> changes vs the stored manifest -> append changes,
-    then advance the manifest. Manifest first read, then rewritten only after the changes are committed."""
+    then advance the manifest. Manifest first read, then rewritten only after the changes are committed.
+
+    Only the manifest's key ranges that the micro-batch touches are read and rewritten. With ``keep_days`` entries more
+    than that many days older than the newest one leave the manifest when the stream has caught up.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         tag = _batch_tag(checkpoint, batch_id)
         latest = latest_by_key(batch, key, list(order)).select(key, ts)
-        manifest = store.read(manifest_table)
+        manifest = store.read_for_keys(manifest_table, latest.select(key))
         changes = change_detect(latest, manifest, key, ts)
         store.append(changes_table, changes, batch_id=tag)
         # Manifest versions are immutable files, so `changes` still reads the pre-batch manifest here.
         store.merge(manifest_table, changes.select(key, ts), [key], batch_id=tag)
 
     _run(stream, sink, checkpoint, f"changes_{changes_table}")
+    if keep_days is not None:
+        expire(store, manifest_table, ts, keep_days)
+
+
+def expire(store: TableStore, table: str, ts: str, keep_days: int) -> None:
+    """Rewrite a manifest without what is more than ``keep_days`` days older than its newest entry."""
+    rows = store.read(table)
+    newest = rows.agg(F.max(ts)).first()[0]
+    if newest is not None:
+        oldest = F.lit(newest).cast(rows.schema[ts].dataType) - F.make_dt_interval(F.lit(keep_days))
+        store.replace(table, rows.where(F.col(ts) >= oldest))
