@@ -15,7 +15,7 @@ common shingle, within windows longer by k - 1, so rows go on to the regions of
 are. Rows within 1 - t of a pivot are its cell and linked to it, hence connected. Rows in no cell go on; of a cell only the boundary goes
 with them: rows whose distance to the pivot is at least the smallest distance beyond the cell, less 1 - t (triangle
 inequality). Regions of which all rows are connected already are done. In regions of near copies the rows outside the
-largest connected part then meet other documents of that part, twice as many each round; those still outside in the end,
+largest connected part then meet some other documents of that part, many more each round; those still outside in the end,
 or in a region of strangers few, are compared with all of their region, by tiles.
 
 How common a shingle is only orders the pivots; a sketch of bounded size (counts by a part of the hash, over all
@@ -355,7 +355,7 @@ def jaccard_components(
     percent: int = 80,
     leaf: int = 32,
     pivots: int = 4,
-    scouts: int = 16,
+    scouts: int = 128,
     deeper: int = 6,
     sketch_bits: int = 22,
     broadcast_rows: int = 1_000_000,
@@ -417,9 +417,7 @@ def jaccard_components(
     tiles: DataFrame | None = None
     while True:
         small, big = region.where(F.col("c") <= leaf), region.where(F.col("c") > leaf)
-        met = _pairs_of(small, percent)
-        if tiles is not None:
-            met = met.union(tiles)
+        met, direct = _pairs_of(small, percent), tiles
         cut = not big.isEmpty()
         if cut:
             # Document pivots: the same wherever their documents are, so that pairs repeat and are measured once.
@@ -433,10 +431,15 @@ def jaccard_components(
             cells = stage(cells.where("rid <> p"), "cells")
             to = [F.least("rid", "p").alias("a"), F.greatest("rid", "p").alias("b")]
             sizes = [F.when(F.col("rid") < F.col("p"), F.col(x)).otherwise(F.col(y)) for x, y in (("n", "pn"), ("pn", "n"))]
-            near = cells.where(_sizes_fit("n", "pn", percent)).select(*to, sizes[0].alias("na"), sizes[1].alias("nb"))
-            met = met.union(near)
+            near = cells.where(_sizes_fit("n", "pn", percent)).select(*to, sizes[0].alias("na"), sizes[1].alias("nb"), fresh.alias("fresh"))
+            met = met.union(near.where("fresh").drop("fresh"))
+            scouted = near.where("not fresh").select("a", "b")
+            direct = scouted if direct is None else direct.union(scouted)
         bounds = _plausible(met.distinct(), counts, percent, broadcast_rows)
-        measured = sets.measure(stage(bounds.where("may").select("a", "b"), "pairs"), percent)
+        # Among near copies nearly every pair may be linked: these go without the histograms.
+        pairs = bounds.where("may").select("a", "b")
+        pairs = pairs if direct is None else pairs.union(direct).distinct()
+        measured = sets.measure(stage(pairs, "pairs"), percent)
         links.append(stage(measured.where("linked").select("a", "b"), "links"))
         if not cut:
             break
@@ -445,12 +448,12 @@ def jaccard_components(
         exact = measured.select("a", "b", "d", "linked").withColumnsRenamed({"a": "_a", "b": "_b"})
         known = bounds.join(exact, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
         known = stage(known.select("a", "b", "may", F.coalesce("d", "low").alias("d"), F.coalesce("linked", F.lit(False)).alias("linked")), "known")
-        at = cells.withColumns({"a": F.least("rid", "p"), "b": F.greatest("rid", "p")}).join(known, ["a", "b"], "left")
+        at = cells.where(fresh).withColumns({"a": F.least("rid", "p"), "b": F.greatest("rid", "p")}).join(known, ["a", "b"], "left")
         # Sizes alone give a lower bound of the distance where they don't fit.
         at = at.withColumns({"d": F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn")), "linked": F.coalesce("linked", F.lit(False))})
         row = ["key", "rid", "n", "pos", "small", "k", "before"]
         at = at.join(maybe_broadcast(centre.select("key", F.col("p").alias("rid")), broadcast_rows), ["key", "rid"], "left_anti")
-        at = stage(at.where(fresh).select(*row, "p", "d", "linked", "may"), "distances")
+        at = stage(at.select(*row, "p", "d", "linked", "may"), "distances")
         beyond = at.where("not linked").groupBy("key", "p").agg(F.min("d").alias("near"))
         beyond = maybe_broadcast(stage(beyond, "beyond"), broadcast_rows)
         inside = F.col("linked") & (F.col("near").isNull() | (F.col("d") < F.col("near") - (1 - percent / 100) - 1e-9))
@@ -468,10 +471,10 @@ def jaccard_components(
         parts = parts.select("key", "c", F.col("top.component").alias("most"), (F.col("c") - F.col("top.m")).alias("outside")).where("outside > 0")
         parts = stage(parts.join(dense, "key", "left"), "parts")
         rest = rest.join(maybe_broadcast(parts, broadcast_rows), "key").withColumn("dense", F.coalesce("dense", ~fresh))
-        # Near copies: scouts, twice as many each round, while these are few of the region. Strangers: one shingle more. Few
+        # Near copies: scouts, many more each round, while these are few of the region. Strangers: one shingle more. Few
         # rows outside, or near copies that scouts haven't connected: against all of their region.
         few = ~F.col("dense") & ((F.col("outside") <= leaf) | (F.col("k") > deeper))
-        asked *= 2
+        asked *= 16
         last = few | (F.col("dense") & (4 * asked >= F.col("c")))
         tiles = _tiles(rest.where(last), percent)
         again = rest.where(~last & F.col("dense")).withColumn("before", F.col("outside"))
@@ -505,9 +508,7 @@ def _tiles(rest: DataFrame, percent: int, side: int = 256) -> DataFrame:
     right = rest.withColumn("tile", F.explode(F.expr(f"sequence(0L, c div {side})")))
     l, r = left.alias("l"), right.alias("r")
     fit = (F.col("l.key") == F.col("r.key")) & (F.col("l.tile") == F.col("r.tile")) & (F.col("l.component") != F.col("r.component")) & _sizes_fit("l.n", "r.n", percent)
-    lower = F.col("l.rid") < F.col("r.rid")
-    one, other = (lambda c: F.when(lower, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}"))), (lambda c: F.when(lower, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")))
-    return l.join(r, fit).select(one("rid").alias("a"), other("rid").alias("b"), one("n").alias("na"), other("n").alias("nb"))
+    return l.join(r, fit).select(F.least("l.rid", "r.rid").alias("a"), F.greatest("l.rid", "r.rid").alias("b"))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
