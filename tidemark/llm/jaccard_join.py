@@ -429,6 +429,7 @@ def jaccard_components(
             centre = stage(centre.select("key", F.col("rid").alias("p"), F.col("n").alias("pn")), "pivots")
             cells = big.where(fresh | (F.col("component") != F.col("most"))).join(maybe_broadcast(centre, broadcast_rows), "key")
             cells = stage(cells.where("rid <> p"), "cells")
+            asked *= 16 if links else 1  # the first round has pivots only
             to = [F.least("rid", "p").alias("a"), F.greatest("rid", "p").alias("b")]
             sizes = [F.when(F.col("rid") < F.col("p"), F.col(x)).otherwise(F.col(y)) for x, y in (("n", "pn"), ("pn", "n"))]
             near = cells.where(_sizes_fit("n", "pn", percent)).select(*to, sizes[0].alias("na"), sizes[1].alias("nb"), fresh.alias("fresh"))
@@ -474,7 +475,6 @@ def jaccard_components(
         # Near copies: scouts, many more each round, while these are few of the region. Strangers: one shingle more. Few
         # rows outside, or near copies that scouts haven't connected: against all of their region.
         few = ~F.col("dense") & ((F.col("outside") <= leaf) | (F.col("k") > deeper))
-        asked *= 16
         last = few | (F.col("dense") & (4 * asked >= F.col("c")))
         tiles = _tiles(rest.where(last), percent)
         again = rest.where(~last & F.col("dense")).withColumn("before", F.col("outside"))
