@@ -1,12 +1,13 @@
 """Quality rules, secret scan, tokenising, packing, toxicity, HTML and the pipeline on real and odd rows."""
 
 import html
+import math
 import os
 import random
 import re
 import sys
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -252,3 +253,76 @@ def test_pipeline(spark, documents, odd):
         for name, step in corpus_pipeline.STAGES:
             df = step(spark, df, SMALL)
     assert df.count() == 0
+
+
+def plain_kneser_ney(texts, before, word):
+    """log P(word | before, toxic) - log P(word | before, ordinary), from dictionaries."""
+    pairs = [Counter(), Counter()]
+    for text, toxic in texts:
+        ws = toxicity.words(text)
+        pairs[0 if toxic else 1].update(set(zip(["^", *ws], ws)))
+    both, low, lose = pairs[0] + pairs[1], 0.75, lambda n: min(n, 3)
+    vocabulary = {w for _, w in both}
+    company = Counter(w for _, w in both)
+
+    def shared(w):
+        return (sum(n for (_, x), n in both.items() if x == w) - low + low * len(vocabulary) * company[w] / len(both)) / sum(both.values())
+
+    def shared_pair(b, w):
+        after = {x: n for (a, x), n in both.items() if a == b}
+        return (after[w] - low + low * len(after) * shared(w)) / sum(after.values())
+
+    def alone(c):
+        of = Counter()
+        for (_, w), n in c.items():
+            of[w] += n
+        return (of[word] - lose(of[word]) + sum(map(lose, of.values())) * shared(word)) / sum(of.values())
+
+    def paired(c):
+        after = {x: n for (a, x), n in c.items() if a == before}
+        if not after:
+            return shared_pair(before, word)
+        n = after.get(word, 0)
+        return (n - lose(n) + sum(map(lose, after.values())) * shared_pair(before, word)) / sum(after.values())
+
+    p = paired if max(c[before, word] for c in pairs) > 3 else alone
+    return math.log(p(pairs[0]) / p(pairs[1]))
+
+
+def test_toxicity_evidence():
+    assert toxicity.words("Sh1t, f*ck! disgusting 'quoted' don't a$$ ... é") == ["sh1t", "f*ck", "disgusting", "quoted", "don't", "a$$", "é"]
+    rng = random.Random(5)
+    common = "the of a that disgustedly went home and".split()
+    texts = [(" ".join(rng.choices(common + (["disgusting", "get lost", "sh1t"] if i % 3 == 0 else ["lovely", "lost"]), k=12)), i % 3 == 0) for i in range(60)]
+    counts = {}
+    for text, toxic in texts:
+        ws = toxicity.words(text)
+        for pair in dict.fromkeys(zip(["^", *ws], ws)):
+            counts.setdefault(pair, [0, 0])[0 if toxic else 1] += 1
+    keys = [np.array([toxicity.word_key(p[i]) for p in counts], np.uint64) for i in (0, 1)]
+    of_words, of_pairs = toxicity.word_evidence(*keys, tuple(np.array([n[i] for n in counts.values()]) for i in (0, 1)))
+    letters = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    evidence = toxicity.Evidence((of_words, of_pairs, letters), 24)
+    for text, _ in texts[:6]:
+        ws = toxicity.words(text)
+        want = [plain_kneser_ney(texts, b, w) for b, w in zip(["^", *ws], ws)]
+        assert evidence.of(ws).tolist() == pytest.approx(want, abs=1e-4)
+    # Words of one beginning differ; two ordinary words together say more than apart; unknown words say nothing here.
+    bad, mild = evidence.of(["disgusting"])[0], evidence.of(["disgustedly"])[0]
+    assert bad > 1 > abs(mild) and len(of_pairs[0]) and evidence.of(["unheard"])[0] == 0.0
+
+
+def test_toxicity_rare_words(spark):
+    """Long, obfuscated and inflected words that few rows have are told apart; unknown forms by their beginnings."""
+    rng = random.Random(7)
+    filler = ["".join(rng.choices("abcdefghijklm", k=rng.randint(3, 9))) for _ in range(400)]
+    bad, good = ["disgustingness", "sh1thead", "f*cker", "worthless"], ["disgustedly", "shipping", "factor", "worthwhile"]
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        docs.append((i, " ".join([*rng.choices(filler, k=30), rng.choice(bad if toxic else good), *rng.choices(filler, k=30)])))
+        labels.append((i, int(toxic)))
+    asked = [(1000, "so you disgustingness there"), (1001, "he looked disgustedly there"), (1002, "what a f*cker"), (1003, "what a factor"), (1004, "you worthlessly"), (1005, "")]
+    df = spark.createDataFrame(docs + asked, "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(df, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True)).collect()}
+    assert found[1000] > 0.9 > 0.1 > found[1001] and found[1002] > 0.9 > 0.1 > found[1003] and found[1004] > found[1005]

@@ -1,18 +1,22 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-The expressions are words, read letter by letter from their start, so that a word never seen before is still known by how
-it begins. Each class (toxic, ordinary) has its own counts of word beginnings; after absolute discounting, the mass taken
-from them goes to counts that both classes share, from there to continuation counts (in how many beginnings a letter
-follows another), then to a uniform letter. A beginning that one class never had is thus as likely under it as the
-shared counts say, and rare expressions can't tip the balance.
+The expressions are pairs of words and words, whole, signs inside them included (``sh1t``, ``f*ck``). Each class (toxic,
+ordinary) has its own counts, discounted absolutely. The mass taken goes to the counts that both classes share, of pairs
+from there to shared words, of words to shared continuation counts (after how many words a word stands). So an expression
+that one class had thrice or less is as likely under it as the shared counts say, and rare expressions can't tip the
+balance. A text counts a pair once: one that repeats itself weighs no more than others. Where neither class keeps a count
+of a pair, both back off to the word alike. A word that neither class has is read letter by letter: its beginnings, as
+far as two known words share them or a class keeps a count, have counts of the same kind.
 
-A text's evidence is the difference of its two log-likelihoods per word, over the whole text and in its strongest window;
-a logistic fit on labelled rows that gave no counts turns both into a score.
+A text's evidence is the difference of its two log-likelihoods per word, over the whole text, in its strongest window and
+at its strongest word; a logistic fit on labelled rows that gave no counts turns them into a score.
 
 Counts come from at most ``sample`` labelled rows of each class, in hash order, so the model is bounded; every row is
-scored. Defined results: null texts and texts without letters have no evidence and get the score of none; rows without
-a label (or with a null one) teach nothing; of several labels of a row, one that says toxic counts; without labelled
-rows every score is 0; repeated rows are scored each; an empty table gives an empty result; other columns are ignored.
+scored. No count is left out. Expressions are known by 64-bit hashes. Defined results: null texts and texts without
+words have no evidence and get the score of none; rows without a label (or with a null one) teach nothing, rows without
+an id neither (the query's ``held_out`` is null for them); of several labels of a row, one that says toxic counts;
+without labelled rows every score is 0; repeated rows are scored each; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -20,43 +24,86 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
 
+#: Of counts that both classes share, and of letters.
 _DISCOUNT = 0.75
-
-
-@lru_cache(maxsize=8)
-def _heads(depth: int) -> re.Pattern:
-    return re.compile(r"([^\W\d_]{1,%d})[^\W\d_]*" % (depth + 1))
-
-
-def words(text: str | None, depth: int) -> list[str]:
-    """Words, of longer ones the first ``depth`` + 1 letters: no more is looked at."""
-    return _heads(depth).findall((text or "").lower())
-
-
-class WordEvidence(dict):
-    """word -> log P(word | toxic) - log P(word | ordinary), over its first letters; filled as words are met."""
-
-    def __init__(self, counts: dict[str, tuple[int, int]], depth: int, most: int = 400_000):
-        super().__init__()
-        self.counts, self.depth, self.most = counts, depth, most
-        self.sums: dict[str, float] = {}
-        #: Of each beginning: what follows it and in how many kinds, by class and in both.
+#: Of a class's own counts: one, two and three lose all, larger ones three.
+CLASS_DISCOUNT = 3
+_WORD = re.compile(r"[\w*@$](?:[\w*@$!'’-]*[\w*@$])?")
+#: What stands before the first word.
+_START = "^"
+
+
+def words(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
+
+
+def word_key(word: str) -> int:
+    """As the session's ``xxhash64`` of the word."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return before * np.uint64(0x9E3779B97F4A7C15) + word
+
+
+def word_evidence(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and log P(. | toxic) - log P(. | ordinary) of all words, then of pairs that keep a count in a class."""
+    known, w = np.unique(word, return_inverse=True)
+    befores, b = np.unique(before, return_inverse=True)
+    by_word = lambda n: np.bincount(w, n, len(known))
+    # Shared words: discounted counts of both classes, then after how many words each stands.
+    total, company = by_word(counts[0] + counts[1]), by_word(np.ones(len(w)))
+    shared = (total - _DISCOUNT + _DISCOUNT * len(known) * company / max(len(w), 1)) / max(total.sum(), 1)
+    both = counts[0] + counts[1]
+    follow, kinds = np.bincount(b, both, len(befores))[b], np.bincount(b, minlength=len(befores))[b]
+    shared_pair = (both - _DISCOUNT + _DISCOUNT * kinds * shared[w]) / np.maximum(follow, 1)
+    of_words, of_pairs = [], []
+    for n in counts:
+        mine = by_word(n)
+        lost = np.minimum(mine, CLASS_DISCOUNT)
+        one = (mine - lost + lost.sum() * shared) / mine.sum() if mine.sum() else shared
+        of_words.append(one)
+        lost = np.minimum(n, CLASS_DISCOUNT)
+        follow, back = np.bincount(b, n, len(befores))[b], np.bincount(b, lost, len(befores))[b]
+        of_pairs.append(np.where(follow > 0, (n - lost + back * shared_pair) / np.maximum(follow, 1), shared_pair))
+    kept = np.flatnonzero(np.maximum(*counts) > CLASS_DISCOUNT)
+    keys = pair_keys(before[kept], word[kept])
+    order = np.argsort(keys)
+    log = lambda p: np.log(p[0] / p[1]).astype(np.float32)
+    return (known, log(of_words)), (keys[order], log(of_pairs)[kept][order])
+
+
+def look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(found, value) of each key."""
+    held, values = table
+    if not len(held):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+    found = held[at] == keys
+    return found, np.where(found, values[at], 0.0)
+
+
+class LetterEvidence:
+    """What each next letter of a word's beginning says, for words that neither class has."""
+
+    def __init__(self, counts: dict[str, tuple[int, int]]):
+        self.counts = counts
+        #: Of each beginning: what follows it, by class and in both; what that loses, by class; its kinds.
         self.follow: dict[str, list[int]] = {}
         pairs: Counter = Counter()
         for begin, (toxic, plain) in counts.items():
             f = self.follow.setdefault(begin[:-1], [0] * 6)
-            for i, n in enumerate((toxic, plain, toxic + plain)):
+            for i, n in enumerate((toxic, plain, toxic + plain, min(toxic, CLASS_DISCOUNT), min(plain, CLASS_DISCOUNT), 1)):
                 f[i] += n
-                f[i + 3] += n > 0
             pairs[begin[-2:]] += 1
         self.pairs, self.after = pairs, Counter()
         for pair, n in pairs.items():
@@ -64,84 +111,105 @@ class WordEvidence(dict):
         self.letters = max(2, len({p[-1:] for p in pairs}))
 
     def _shared(self, begin: str) -> float:
-        after = self.after[begin[-2]]
-        low = (self.pairs[begin[-2:]] + 1 / self.letters) / (after + 1)
+        low = (self.pairs[begin[-2:]] + 1 / self.letters) / (self.after[begin[-2]] + 1)
         f = self.follow[begin[:-1]]
-        toxic, plain = self.counts.get(begin, (0, 0))
+        toxic, plain = self.counts[begin]
         return (max(toxic + plain - _DISCOUNT, 0) + _DISCOUNT * f[5] * low) / f[2]
 
-    def _step(self, begin: str) -> float:
-        """What the last letter of a beginning adds."""
-        f = self.follow.get(begin[:-1])
-        if f is None:
-            return 0.0  # neither class knows what stands before: both back off alike
-        shared, own = self._shared(begin), self.counts.get(begin, (0, 0))
-        toxic, plain = ((max(own[i] - _DISCOUNT, 0) + _DISCOUNT * f[3 + i] * shared) / f[i] if f[i] else shared for i in (0, 1))
+    def step(self, begin: str) -> float:
+        f, shared, own = self.follow[begin[:-1]], self._shared(begin), self.counts[begin]
+        toxic, plain = ((max(own[i] - CLASS_DISCOUNT, 0) + f[3 + i] * shared) / f[i] if f[i] else shared for i in (0, 1))
         return math.log(toxic / plain)
 
-    def _upto(self, begin: str) -> float:
-        if len(begin) < 2:
-            return 0.0
-        known = self.sums.get(begin)
-        if known is None:
-            self.sums[begin] = known = self._upto(begin[:-1]) + self._step(begin)
-        return known
-
-    def __missing__(self, word: str) -> float:
-        if len(self) > self.most:
-            self.clear()
-            self.sums.clear()
-        self[word] = total = self._upto(f"^{word}$"[: self.depth + 1])
-        return total
-
-
-def _beginnings(depth: int):
-    def run(batches):
-        for batch in batches:
-            counts: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, n in Counter(words(text, depth)).items():
-                    marked = f"^{word}$"
-                    for end in range(2, min(len(marked), depth + 1) + 1):
-                        counts.setdefault(marked[:end], [0, 0])[0 if toxic else 1] += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())],
-                names=["begin", "toxic", "plain"],
-            )
-
-    return run
-
-
-def _evidence(counts, depth: int, window: int):
-    """The id column stays; ``mean`` and ``peak`` are the evidence per word of the text and of its strongest window."""
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.fromiter(map(word_key, self.counts), np.uint64, len(self.counts))
+        steps = np.fromiter(map(self.step, self.counts), np.float32, len(self.counts))
+        order = np.argsort(keys)
+        return keys[order], steps[order]
+
+
+class Evidence:
+    """Evidence of each word of a text, from the tables of words, pairs and beginnings."""
+
+    def __init__(self, tables, depth: int, most: int = 300_000):
+        self.words, self.pairs, self.beginnings = tables
+        self.depth, self.most = depth, most
+        self.start = np.uint64(word_key(_START))
+        self.known: dict[str, tuple[int, float]] = {}
+
+    def _by_letters(self, word: str) -> float:
+        marked = f"^{word}$"
+        keys = [word_key(marked[:end]) for end in range(2, min(len(marked), self.depth) + 1)]
+        found, steps = look_up(self.beginnings, np.array(keys, np.uint64))
+        return float(steps[: len(found) if found.all() else int(found.argmin())].sum())
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.known) > self.most:
+            self.known.clear()
+        keys = [word_key(w) for w in new]
+        found, values = look_up(self.words, np.array(keys, np.uint64))
+        for word, key, ok, value in zip(new, keys, found.tolist(), values.tolist()):
+            self.known[word] = key, value if ok else self._by_letters(word)
+
+    def of(self, ws: list[str]) -> np.ndarray:
+        self._learn(list({w for w in ws if w not in self.known}))
+        if not all(map(self.known.__contains__, ws)):  # the memory was emptied in between
+            self._learn(list({w for w in ws if w not in self.known}))
+        pairs = list(map(self.known.__getitem__, ws))
+        keys = np.fromiter((p[0] for p in pairs), np.uint64, len(ws))
+        alone = np.fromiter((p[1] for p in pairs), float, len(ws))
+        found, values = look_up(self.pairs, pair_keys(np.concatenate([[self.start], keys[:-1]]), keys))
+        return np.where(found, values, alone)
+
+
+FEATURES = ("mean", "peak", "top")
+
+
+def _pairs(batches):
+    """(before, word, toxic, plain): in how many texts of each class, summed by batch."""
+    for batch in batches:
+        counts: dict[tuple[str, str], list[int]] = {}
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ws = words(text)
+            for pair in dict.fromkeys(zip([_START, *ws], ws)):
+                counts.setdefault(pair, [0, 0])[0 if toxic == 1 else 1] += 1
+        columns = [pa.array([k[i] for k in counts], pa.string()) for i in (0, 1)]
+        columns += [pa.array([n[i] for n in counts.values()], pa.int64()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["before", "word", "toxic", "plain"])
+
+
+def _evidence(tables, depth: int, window: int):
+    """The columns before the text stay; ``mean``, ``peak`` and ``top`` are the evidence per word of the text, of its strongest window and word."""
 
     def run(batches):
-        known = _model(counts, depth)
+        known = _model(tables, depth)
         for batch in batches:
-            means, peaks = [], []
+            means, peaks, tops = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                ws = words(text, depth)
+                ws = words(text)
                 if not ws:
-                    means.append(0.0)
-                    peaks.append(0.0)
+                    for column in (means, peaks, tops):
+                        column.append(0.0)
                     continue
-                sums = np.concatenate([[0.0], np.cumsum(np.fromiter(map(known.__getitem__, ws), float, len(ws)))])
+                each = known.of(ws)
+                sums = np.concatenate([[0.0], np.cumsum(each)])
+                tops.append(float(each.max()))
                 means.append(float(sums[-1] / len(ws)))
                 peaks.append(float((sums[window:] - sums[:-window]).max() / window) if len(ws) > window else float(sums[-1] / window))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(means), pa.array(peaks)], names=[*batch.schema.names[:-1], "mean", "peak"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, pa.float64()) for c in (means, peaks, tops))], names=[*batch.schema.names[:-1], *FEATURES])
 
     return run
 
 
-_MODELS: dict[int, WordEvidence] = {}
+_MODELS: dict[int, Evidence] = {}
 
 
-def _model(counts, depth: int) -> WordEvidence:
+def _model(tables, depth: int) -> Evidence:
     """One model a worker process, whatever the number of its tasks."""
-    if counts.id not in _MODELS:
+    if tables.id not in _MODELS:
         _MODELS.clear()
-        _MODELS[counts.id] = WordEvidence(counts.value, depth)
-    return _MODELS[counts.id]
+        _MODELS[tables.id] = Evidence(tables.value, depth)
+    return _MODELS[tables.id]
 
 
 class _Broadcast:
@@ -187,14 +255,13 @@ def score(
     label_col: str = "toxic",
     sample: int = 10_000,
     fit_share: int = 5,
-    least: int = 3,
-    depth: int = 7,
+    depth: int = 24,
     window: int = 6,
 ) -> DataFrame:
     """(doc_id, score), one row per row of ``docs``.
 
     ``may_learn``: which rows of ``labels``, by its id column, may be learned from. One in ``fit_share`` of them fits the
-    scores, the others give counts. Beginnings of fewer than ``least`` occurrences are left to the shared counts above.
+    scores, the others give counts. Of words that neither class has, the first ``depth`` letters are looked at.
     """
     spark = docs.sparkSession
     known = labels.where(may_learn & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("_toxic"))
@@ -205,17 +272,26 @@ def score(
     rows = docs.select(F.col(id_col).cast("long").alias("_own"), F.col(text_col).alias("text"))
     # At most 2 * sample rows of 17 bytes are broadcast.
     learned = rows.join(F.broadcast(picked), own == F.col("_id"))
-    counts = learned.where("not _fit").select("text", "_toxic").mapInArrow(_beginnings(depth), "begin string, toxic long, plain long")
-    counts = counts.groupBy("begin").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")).where(F.col("toxic") + F.col("plain") >= least)
-    table = counts.toPandas()  # bounded by the sample
-    model = dict(zip(table["begin"], zip(table["toxic"].tolist(), table["plain"].tolist())))
-    held = _Broadcast(spark.sparkContext.broadcast(model))
+    pairs = learned.where("not _fit").select("text", "_toxic").mapInArrow(_pairs, "before string, word string, toxic long, plain long")
+    pairs = stage(pairs.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "pair_counts")
+    marked = F.concat(F.lit("^"), F.substring("word", 1, depth), F.lit("$"))
+    begins = pairs.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")).withColumn("marked", marked)
+    begins = begins.select(F.explode(F.transform(F.sequence(F.lit(2), F.least(F.length("marked"), F.lit(depth))), lambda n: F.substring("marked", F.lit(1), n))).alias("begin"), "toxic", "plain")
+    begins = begins.groupBy("begin").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("kinds"))
+    begins = begins.where((F.col("kinds") > 1) | (F.greatest("toxic", "plain") > CLASS_DISCOUNT)).drop("kinds")
+    # Bounded by the sample: 32 bytes a pair and fewer beginnings than words.
+    table = pairs.select(F.xxhash64("before").alias("before"), F.xxhash64("word").alias("word"), "toxic", "plain").toArrow()
+    before, word, toxic, plain = (table.column(i).to_numpy() for i in range(4))
+    of_words, of_pairs = word_evidence(before.astype(np.int64).view(np.uint64), word.astype(np.int64).view(np.uint64), (toxic, plain))
+    letters = begins.toPandas()
+    of_letters = LetterEvidence(dict(zip(letters["begin"], zip(letters["toxic"].tolist(), letters["plain"].tolist())))).table()
+    held = _Broadcast(spark.sparkContext.broadcast((of_words, of_pairs, of_letters)))
 
     measure = _evidence(held, depth, window)
-    fitted = learned.where("_fit").select("_toxic", "text").mapInArrow(measure, "_toxic int, mean double, peak double").toPandas()  # sample / fit_share rows
-    scored = rows.mapInArrow(measure, "_own long, mean double, peak double").withColumnRenamed("_own", "doc_id")
+    fitted = learned.where("_fit").select("_toxic", "text").mapInArrow(measure, "_toxic int, mean double, peak double, top double").toPandas()  # sample / fit_share rows
+    scored = rows.mapInArrow(measure, "_own long, mean double, peak double, top double").withColumnRenamed("_own", "doc_id")
     if fitted.empty or not (fitted["_toxic"] == 1).any():
         return scored.select("doc_id", F.lit(0.0).alias("score"))
-    w = fit(fitted[["mean", "peak"]].to_numpy(float), (fitted["_toxic"] == 1).to_numpy(float))
-    z = F.lit(float(w[0])) * F.col("mean") + F.lit(float(w[1])) * F.col("peak") + F.lit(float(w[2]))
+    w = fit(fitted[[*FEATURES]].to_numpy(float), (fitted["_toxic"] == 1).to_numpy(float))
+    z = sum((F.lit(float(a)) * F.col(c) for a, c in zip(w, FEATURES)), F.lit(float(w[-1])))
     return scored.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
