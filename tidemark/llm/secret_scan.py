@@ -1,12 +1,15 @@
 """Secret scan: three fixed kinds and a battery of randomness tests.
 
-Long unbroken tokens are candidates. For each the encoding is inferred (hex, base32, base64) and three tests ask whether
-its symbols could be uniform draws from that alphabet: chi-squared over symbols and over symbol classes, runs above and
-below the middle of the alphabet, and serial correlation. A token that one of them rejects, at a level split over the
-tests, is no secret. For the rest, evidence against ordinary writing is the likelihood ratio of uniform symbols to the
-corpus's own frequencies of letter, digit and sign classes. Its inverse is a valid p-value at any length (short tokens
+Long unbroken tokens are candidates; of tokens with signs in them, also the parts between signs, so that keys joined by
+them are seen. For each the encoding is inferred (hex, base32, base64, letters) and three tests ask whether its symbols
+could be uniform draws from that alphabet: chi-squared over symbols and over symbol classes, runs above and below the
+middle of the alphabet, and serial correlation. A token that one of them rejects, at a level split over the tests, is no
+secret. For the rest, evidence against ordinary writing is the likelihood ratio of uniform symbols to the corpus's own
+writing: its frequencies of letter, digit and sign classes and of each letter after another. Tokens of one case are held
+against words in one case too, and the weaker evidence counts. Its inverse is a valid p-value at any length (short tokens
 can't reach small ones), and the step-up rule of Benjamini and Hochberg over all candidates of the corpus bounds the
-share of false discoveries. The step-up threshold is found from counts in bins of evidence.
+share of false discoveries. The step-up threshold is found from counts in bins of evidence. Of spans found within each
+other the widest stays.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each; an empty table gives an empty result;
 columns other than the id and text columns are ignored, whatever their names. DataFrame functions only.
@@ -25,14 +28,18 @@ from .common import drop, let, recorded, stage, text_sha
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Kinds in the order of the contract: (name, pattern, shortest match, group whose length counts).
 KINDS = (("assign", _ASSIGN, 6, 2), ("access", r"AKIA[A-Z0-9]+", 20, 0), ("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+", 24, 0))
-#: Candidates show a digit: a token of letters alone is taken for a word, whatever its letters.
-RANDOM = ("random", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+", 16, 0)
+RANDOM = ("random", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+", 16, 0)
+#: Parts of tokens: base64 between signs of the other kind, base64url likewise, and what stands between any signs.
+PARTS = (r"[A-Za-z0-9+/]{16,}+", r"[A-Za-z0-9_-]{16,}+", r"[A-Za-z0-9]{16,}+")
 
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings: alphabet in the order of symbol values and the sizes of its classes (upper, lower, digit, sign).
 ALPHABETS = {
     "hex_lower": (_DIGIT + "abcdef", (0, 6, 10, 0)),
     "hex_upper": (_DIGIT + "ABCDEF", (6, 0, 10, 0)),
+    "upper": (_UPPER, (26, 0, 0, 0)),
+    "lower": (_LOWER, (0, 26, 0, 0)),
+    "letters": (_UPPER + _LOWER, (26, 26, 0, 0)),
     "base32": (_UPPER + "234567", (26, 0, 6, 0)),
     "base64": (_UPPER + _LOWER + _DIGIT + "+/", (26, 26, 10, 2)),
     "base64url": (_UPPER + _LOWER + _DIGIT + "-_", (26, 26, 10, 2)),
@@ -118,23 +125,59 @@ def class_shares(docs: DataFrame, text_col: str) -> list[float]:
     return [max((counts[c] or 0) / max(total, 1), 1e-6) for c in CLASSES]
 
 
-def random_tokens(hits: DataFrame, shares: list[float], level: float, false_share: float, bins_per_bit: int = 8) -> DataFrame:
+def letter_bits(docs: DataFrame, text_col: str) -> list[float]:
+    """Of each letter after another (place 27 * before + letter, 0: none before): log2 of uniform to the corpus's share."""
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("[a-z]{2,}+"), F.lit(0))).alias("word"))
+    found = found.groupBy("word").agg(F.count("*").alias("n"))
+    pairs = F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda i: F.concat(F.when(i > 0, F.substring("word", i, F.lit(1))).otherwise(""), F.substring("word", i + 1, F.lit(1))))
+    counts = found.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n")).collect()  # 702 rows at most
+    n = [[0] * 27 for _ in range(27)]
+    for r in counts:
+        before, letter = (0, *(_LOWER.index(c) + 1 for c in r["pair"]))[-2:]
+        n[before][letter] = r["n"]
+    return [0.0 if not letter else math.log2((sum(row) + 26) / (row[letter] + 1) / 26) for row in n for letter in range(27)]
+
+
+def _letters_say(token: Column, bits: list[float]) -> Column:
+    """Sum of ``letter_bits`` over a token."""
+    table = F.array(*[F.lit(b) for b in bits])
+    start = F.struct(F.lit(0).alias("p"), F.lit(0.0).alias("b"))
+    step = lambda a, x: F.struct(x.alias("p"), (a["b"] + F.get(table, a["p"] * 27 + x)).alias("b"))
+    return F.aggregate(F.transform(F.split(F.lower(token), ""), lambda c: F.instr(F.lit(_LOWER), c)), start, step, lambda a: a["b"])
+
+
+def parts(tokens: DataFrame, own: list[str]) -> DataFrame:
+    """``tokens`` of one alphabet as they are and the long parts of those with signs: own, kind, hit, start, end."""
+    no_part = F.array().cast("array<struct<kind:int,i:int,gap:int,hit:string,n:int>>")
+    signed = F.when(F.col("hit").rlike("[+/_-]"), F.concat(*[_matches(F.col("hit"), j, p, 0) for j, p in enumerate(PARTS)])).otherwise(no_part)
+    one_alphabet = F.col("hit").rlike("^(?:[A-Za-z0-9+/]+|[A-Za-z0-9_-]+)$")
+    columns = [*own, "kind", "hit", "start", "end"]
+    inner = tokens.select(*own, "kind", F.col("start").alias("at"), F.explode(signed).alias("m")).select(*own, "kind", "at", F.col("m.kind").alias("j"), "m.i", "m.gap", "m.hit")
+    upto = F.sum(F.col("gap") + F.length("hit")).over(W.partitionBy("rid", "at", "j").orderBy("i"))
+    inner = inner.withColumn("end", (F.col("at") + upto).cast("long")).withColumn("start", F.col("end") - F.length("hit"))
+    return tokens.where(one_alphabet).select(columns).unionByName(inner.select(columns)).dropDuplicates(["rid", "start", "end"])
+
+
+def random_tokens(hits: DataFrame, shares: list[float], letters: list[float], level: float, false_share: float, bins_per_bit: int = 8) -> DataFrame:
     """Those of ``hits`` that pass the battery and the false-discovery step-up; ``evidence`` is in bits."""
     token = F.col("hit")
     encoding = (
         F.when(token.rlike(f"^[{_DIGIT}]+$"), F.lit(None))
         .when(token.rlike("^[0-9a-f]+$"), "hex_lower")
         .when(token.rlike("^[0-9A-F]+$"), "hex_upper")
+        .when(token.rlike("^[A-Z]+$"), "upper")
+        .when(token.rlike("^[a-z]+$"), "lower")
+        .when(token.rlike("^[A-Za-z]+$"), "letters")
         .when(token.rlike("^[A-Z2-7]+$"), "base32")
         .when(token.rlike("^[A-Za-z0-9+/]+$"), "base64")
         .when(token.rlike("^[A-Za-z0-9_-]+$"), "base64url")
     )
     counts = {c: F.length(token) - F.length(F.regexp_replace(token, p, "")) for c, p in zip(CLASSES, ("[A-Z]", "[a-z]", "[0-9]", "[+/_-]"))}
     by = lambda pick: F.coalesce(*[F.when(F.col("encoding") == n, F.lit(pick(*ALPHABETS[n]))) for n in ALPHABETS])
-    rows = hits.withColumns({"len": F.length(token), "encoding": encoding, **counts})
+    rows = hits.withColumns({"len": F.length(token), "encoding": encoding, **counts}).where("encoding is not null")
     rows = rows.withColumns({"k": by(lambda a, _: len(a)), "alphabet": by(lambda a, _: a)})
-    rows = rows.withColumn("m", F.when(F.col("encoding").isNotNull(), _measures(token, F.col("alphabet"), F.col("k"))))
-    rows = stage(rows.drop("hit", "alphabet", "gap", "i").select("*", "m.squares", "m.walk.runs", "m.walk.above", "m.walk.s", "m.walk.q").drop("m"), "candidates")
+    rows = rows.withColumns({"m": _measures(token, F.col("alphabet"), F.col("k")), "letters": _letters_say(token, letters)})
+    rows = stage(rows.drop("hit", "alphabet").select("*", "m.squares", "m.walk.runs", "m.walk.above", "m.walk.s", "m.walk.q").drop("m"), "candidates")
 
     stats, bits, df = F.lit(0.0), F.lit(0.0), F.lit(1)
     for name, (alphabet, sizes) in ALPHABETS.items():
@@ -142,10 +185,13 @@ def random_tokens(hits: DataFrame, shares: list[float], level: float, false_shar
         stat = sum((F.pow(F.col(c) - e, F.lit(2.0)) / e for c, e in live), F.lit(0.0))
         stats = F.when(F.col("encoding") == name, stat).otherwise(stats)
         df = F.when(F.col("encoding") == name, len(live) - 1).otherwise(df)
-        own = sum((F.col(c) * math.log2(size / share / len(alphabet)) for c, size, share in zip(CLASSES, _CLASS_SIZE, shares)), F.lit(0.0))
-        bits = F.when(F.col("encoding") == name, own).otherwise(bits)
-    rows = rows.withColumns({"class_p": _chi_tail(stats, df), "evidence": bits})
-    rows = stage(rows.withColumn("battery", F.when(F.col("encoding").isNull(), 0.0).otherwise(_battery(F.col("class_p")))), "candidates")
+        against = lambda of: sum((F.col(c) * math.log2(size / share / len(alphabet)) for c, size, share in zip(CLASSES, _CLASS_SIZE, of)), F.lit(0.0))  # noqa: E731, B023
+        case = shares[0] + shares[1]
+        weaker = F.least(against(shares), F.when((F.col("upper") == 0) | (F.col("lower") == 0), against([case, case, *shares[2:]])))
+        bits = F.when(F.col("encoding") == name, weaker).otherwise(bits)
+    # An alphabet of one class has nothing to test there.
+    rows = rows.withColumns({"class_p": F.when(df == 0, 1.0).otherwise(_chi_tail(stats, F.greatest(df, F.lit(1)))), "evidence": bits + F.col("letters")})
+    rows = stage(rows.withColumn("battery", _battery(F.col("class_p"))), "candidates")
 
     # Step-up over all candidates: the smallest evidence e with 2**-e <= false_share * (candidates of at least e) / all.
     tested = rows.withColumn("bin", F.floor(F.greatest(F.lit(0.0), F.least(F.col("evidence"), F.lit(512.0))) * bins_per_bit))
@@ -178,7 +224,10 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = stage(placed.where(F.col("n") >= shortest), "secret_hits")
     columns = [*own, "kind", "start", "end"]
     base = placed.where(F.col("kind") < len(KINDS)).select(columns)
-    random = random_tokens(placed.where(F.col("kind") == len(KINDS)), class_shares(docs, text_col), level, false_share).select(columns)
+    tokens = parts(placed.where(F.col("kind") == len(KINDS)), own)
+    random = random_tokens(tokens, class_shares(docs, text_col), letter_bits(docs, text_col), level, false_share).select(columns)
+    wider = F.max("end").over(W.partitionBy("rid").orderBy("start", F.desc("end")).rowsBetween(W.unboundedPreceding, -1))
+    random = random.withColumn("wider", wider).where("wider is null or wider < end").drop("wider")
     # A random token inside what a fixed kind has found says nothing new.
     is_base = F.col("kind") < len(KINDS)
     order = W.partitionBy("rid").orderBy("start")
