@@ -8,6 +8,7 @@ import re
 import sys
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -236,6 +237,57 @@ def test_schedule_drains_queues():
     assert abs(int(steps[2][0]) - int(steps[2][1])) <= 1
 
 
+def test_mixture_at_any_number_of_sources(documents):
+    """Named sources keep their proportions with few queues and with many; the others follow, each row once."""
+    for most in (1, 2, 4096):
+        pieces = packing.pack(documents, mixture={"src2": 3.0, "src8": 1.0, "no such": 2.0}, window_sequences=4, max_queues=most)
+        found = pieces.where("window = 0").join(documents.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("length").alias("n"))
+        assert {r["source"]: r["n"] for r in found.collect()} == {"src2": 3072, "src8": 1024}
+        if most == 2:
+            check_packing([(r["doc_id"], r["text"]) for r in documents.collect()], pieces.collect())
+
+
+def plain_rounds(totals, weights, window):
+    """Deficit round-robin one window at a time: grants in exact fractions, what a drained queue leaves goes to the others."""
+    left, served, out = [Fraction(t) for t in totals], [Fraction(0)] * len(totals), [[0] * len(totals)]
+    while any(left):
+        grant = Fraction(window)
+        while grant and any(left):
+            live = [i for i, n in enumerate(left) if n and weights[i]] or [i for i, n in enumerate(left) if n]
+            weight = {i: Fraction(weights[i]) or left[i] for i in live}
+            step = min(grant, min(left[i] * sum(weight.values()) / weight[i] for i in live))
+            for i in live:
+                take = step * weight[i] / sum(weight.values())
+                left[i], served[i] = left[i] - take, served[i] + take
+            grant -= step
+        out.append([int(x) for x in served])
+    return out
+
+
+def test_schedule_is_round_robin():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randint(1, 7)
+        totals, weights = [rng.choice([1, 7, 300, 5000, 40_000]) + rng.randint(0, 50) for _ in range(n)], [float(rng.choice([0, 1, 1, 2, 5])) for _ in range(n)]
+        window = rng.choice([16, 100, 1024])
+        plan, want = packing.Schedule(totals, weights, window), plain_rounds(totals, weights, window)
+        assert plan.windows == len(want) - 1 and plan.served(plan.windows).tolist() == totals
+        for k, row in enumerate(want):
+            assert max(abs(a - b) for a, b in zip(plan.served(k).tolist(), row)) <= 1
+        # Each token of each queue has one place in one window, and all places are taken.
+        places = [p + j for q, t in enumerate(totals) for _, _, m, p in plan.pieces(q, 0, t) for j in range(m)]
+        assert sorted(places) == list(range(sum(totals)))
+
+
+def test_tempered_mixture(documents):
+    """Tempered targets: every window until the first queue is drained holds the powers of the sources' totals."""
+    pieces = packing.pack(documents, temper=0.5, window_sequences=16).join(documents.select("doc_id", "source"), "doc_id")
+    n = {r["source"]: r["n"] for r in pieces.groupBy("source").agg(F.sum("length").alias("n")).collect()}
+    weight = {s: v**0.5 / sum(x**0.5 for x in n.values()) for s, v in n.items()}
+    first = {r["source"]: r["n"] for r in pieces.where("window = 0").groupBy("source").agg(F.sum("length").alias("n")).collect()}
+    assert all(abs(first[s] - w * 16 * 1024) <= 1 for s, w in weight.items() if n[s] > w * 17 * 1024)
+
+
 def test_piece_encoder():
     coder = packing.PieceEncoder(packing.VOCABULARY)
     whole = lambda t: np.array(coder.tokenizer.encode(t, add_special_tokens=False).ids, coder.kind).tobytes()

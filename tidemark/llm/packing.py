@@ -17,6 +17,7 @@ import json
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -166,7 +167,7 @@ class Schedule:
         if k >= self.windows:
             return self.totals
         x = float(k) * self.window
-        before, done, share = next(p for p in reversed(self.phases) if p[0] <= x)
+        before, done, share = self.phases[bisect_right(self.phases, x, key=lambda p: p[0]) - 1]
         return np.minimum(self.totals, np.floor(done + share * (x - before)).astype(np.int64))
 
     def served(self, k: int) -> np.ndarray:
@@ -216,6 +217,7 @@ def pack(
     text_col: str = "text",
     source_col: str = "source",
     mixture: dict[str, float] | None = None,
+    temper: float = 1.0,
     length: int = 1024,
     window_sequences: int = 256,
     vocabulary: str = VOCABULARY,
@@ -225,28 +227,45 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window.
 
-    ``mixture``: target weight of each source; by default the corpus's own token proportions. Sources that it doesn't name
-    are served after the named ones. Up to ``max_queues`` sources have a queue each; beyond, sources share the queue of
-    their hash. Totals of queues go to the driver; starts by task and source are broadcast up to ``broadcast_rows`` rows
-    and joined by a shuffle beyond.
+    ``mixture``: target weight of each source; sources that it doesn't name are served after the named ones. Without it a
+    source's weight is its number of tokens to the power of ``temper``: below 1 small sources are served earlier than
+    their share, and large ones go on alone when those are drained. Up to ``max_queues`` sources have a queue each; beyond,
+    named sources and the largest keep theirs, and the others share queues by their hash, with the sum of their weights.
+    Totals of queues go to the driver; starts by task and source are broadcast up to ``broadcast_rows`` rows and joined by
+    a shuffle beyond.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("text"))
     tokens = stage(rows.mapInArrow(_tokenise(vocabulary, close), STAGED), "tokens")
     spans = stage(tokens.groupBy("part", "source").agg(F.sum("n_tokens").alias("n")), "spans")
-    names = spans.groupBy("source").agg(F.sum("n").alias("n"))
-    if names.count() > max_queues:
-        queue = F.format_string("%d", F.pmod(F.xxhash64("source"), F.lit(max_queues)))
-    else:
-        queue = F.col("source")
-    spans = spans.withColumn("queue", queue)
-    queues = [(r["queue"], r["n"]) for r in spans.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()]
-    weights = [float(n) if mixture is None else float(mixture.get(q, 0)) for q, n in queues]
-
-    before = W.partitionBy("queue").orderBy("part", "source").rowsBetween(W.unboundedPreceding, -1)
-    index = F.create_map(*[F.lit(x) for i, (q, _) in enumerate(queues) for x in (q, i)]) if queues else F.create_map().cast("map<string,int>")
-    starts = spans.select("part", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), index[F.col("queue")].alias("q"))
-    starts = stage(starts, "starts")
+    sources = _weighed(spans.groupBy("source").agg(F.sum("n").alias("n")), mixture, temper, max_queues)
+    spans = spans.join(sources.select("source", "own", "queue"), "source")
+    queues = sources.groupBy("own", "queue").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")).orderBy("own", "queue").collect()
+    numbered = spark.createDataFrame([(r["own"], r["queue"], i) for i, r in enumerate(queues)], "own boolean, queue string, q int")
+
+    before = W.partitionBy("own", "queue").orderBy("part", "source").rowsBetween(W.unboundedPreceding, -1)
+    starts = spans.select("part", "source", "own", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    starts = stage(starts.join(F.broadcast(numbered), ["own", "queue"]).select("part", "source", "base", "q"), "starts")
     if starts.count() <= broadcast_rows:
         starts = F.broadcast(starts)
     placed = tokens.join(starts, ["part", "source"]).select("doc_id", "q", (F.col("base") + F.col("q_start")).alias("start"), "ids")
-    return placed.mapInArrow(_packer([n for _, n in queues], weights, window_sequences * length, length, encoder(vocabulary).kind), PIECES)
+    totals, weights = [r["n"] for r in queues], [float(r["weight"]) for r in queues]
+    return placed.mapInArrow(_packer(totals, weights, window_sequences * length, length, encoder(vocabulary).kind), PIECES)
+
+
+def _weighed(sources: DataFrame, mixture: dict[str, float] | None, temper: float, max_queues: int) -> DataFrame:
+    """(source, n, weight, own, queue) of each source; ``queue`` is its name if it has its ``own``, else a bucket."""
+    if mixture is None:
+        sources = sources.withColumns({"weight": F.pow(F.col("n").cast("double"), F.lit(temper)), "named": F.lit(False)})
+    else:
+        targets = sources.sparkSession.createDataFrame([(k, float(v)) for k, v in mixture.items()], "source string, weight double")
+        sources = sources.join(F.broadcast(targets), "source", "left").withColumn("named", F.col("weight").isNotNull()).fillna(0.0, ["weight"])
+    sources = stage(sources, "sources")
+    if sources.count() <= max_queues:
+        return sources.withColumns({"own": F.lit(True), "queue": F.col("source")}).drop("named")
+    shared = max(1, max_queues // 2)
+    largest = sources.where("not named").orderBy(F.desc("n"), "source").limit(max_queues - shared).select("source", F.lit(True).alias("large"))
+    own = F.col("named") | F.coalesce("large", F.lit(False))
+    bucket = F.pmod(F.xxhash64("source"), F.lit(shared)).cast("string")
+    sources = sources.join(F.broadcast(largest), "source", "left").withColumn("own", own)
+    return stage(sources.withColumn("queue", F.when(F.col("own"), F.col("source")).otherwise(bucket)).drop("named", "large"), "queues")

@@ -48,8 +48,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: Targets of op7: proportions of the sources' tokens to this power, evened out.
+TEMPER = 0.7
+
+
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"))
+    return packing.pack(read(spark, sf_dir, "documents"), temper=TEMPER)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
