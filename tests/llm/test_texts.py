@@ -399,7 +399,7 @@ def plain_kneser_ney(texts, before, word):
     return math.log(p(pairs[0]) / p(pairs[1]))
 
 
-def test_toxicity_evidence():
+def test_toxicity_evidence(spark):
     assert toxicity.words("Sh1t, f*ck! disgusting 'quoted' don't a$$ ... é") == ["sh1t", "f*ck", "disgusting", "quoted", "don't", "a$$", "é"]
     rng = random.Random(5)
     common = "the of a that disgustedly went home and".split()
@@ -409,8 +409,7 @@ def test_toxicity_evidence():
         ws = toxicity.words(text)
         for pair in dict.fromkeys(zip(["^", *ws], ws)):
             counts.setdefault(pair, [0, 0])[0 if toxic else 1] += 1
-    keys = [np.array([toxicity.word_key(p[i]) for p in counts], np.uint64) for i in (0, 1)]
-    of_words, of_pairs = toxicity.word_evidence(*keys, tuple(np.array([n[i] for n in counts.values()]) for i in (0, 1)))
+    of_words, of_pairs = toxicity.word_evidence(spark.createDataFrame([(*p, *n) for p, n in counts.items()], "before string, word string, toxic long, plain long"))
     letters = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
     evidence = toxicity.Evidence((of_words, of_pairs, letters), 24)
     for text, _ in texts[:6]:

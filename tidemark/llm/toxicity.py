@@ -21,9 +21,7 @@ are ignored.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +35,7 @@ from .common import stage
 _DISCOUNT = 0.75
 #: Of a class's own counts: one, two and three lose all, larger ones three.
 CLASS_DISCOUNT = 3
+CLASSES = ("toxic", "plain")
 _WORD = re.compile(r"[\w*@$](?:[\w*@$!'’-]*[\w*@$])?")
 #: What stands before the first word.
 _START = "^"
@@ -55,31 +54,61 @@ def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return before * np.uint64(0x9E3779B97F4A7C15) + word
 
 
-def word_evidence(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Sorted keys and log P(. | toxic) - log P(. | ordinary) of all words, then of pairs that keep a count in a class."""
-    known, w = np.unique(word, return_inverse=True)
-    befores, b = np.unique(before, return_inverse=True)
-    by_word = lambda n: np.bincount(w, n, len(known))
-    # Shared words: discounted counts of both classes, then after how many words each stands.
-    total, company = by_word(counts[0] + counts[1]), by_word(np.ones(len(w)))
-    shared = (total - _DISCOUNT + _DISCOUNT * len(known) * company / max(len(w), 1)) / max(total.sum(), 1)
-    both = counts[0] + counts[1]
-    follow, kinds = np.bincount(b, both, len(befores))[b], np.bincount(b, minlength=len(befores))[b]
-    shared_pair = (both - _DISCOUNT + _DISCOUNT * kinds * shared[w]) / np.maximum(follow, 1)
-    of_words, of_pairs = [], []
-    for n in counts:
-        mine = by_word(n)
-        lost = np.minimum(mine, CLASS_DISCOUNT)
-        one = (mine - lost + lost.sum() * shared) / mine.sum() if mine.sum() else shared
-        of_words.append(one)
-        lost = np.minimum(n, CLASS_DISCOUNT)
-        follow, back = np.bincount(b, n, len(befores))[b], np.bincount(b, lost, len(befores))[b]
-        of_pairs.append(np.where(follow > 0, (n - lost + back * shared_pair) / np.maximum(follow, 1), shared_pair))
-    kept = np.flatnonzero(np.maximum(*counts) > CLASS_DISCOUNT)
-    keys = pair_keys(before[kept], word[kept])
+def _ratio(shared: Column, own: tuple, follow: tuple, back: tuple) -> Column:
+    """log P(. | toxic) - log P(. | ordinary): each class's own count, all counts of its context and what those lost."""
+    lost = [F.least(n, F.lit(CLASS_DISCOUNT)) for n in own]
+    toxic, plain = (F.when(f > 0, (n - less + m * shared) / f).otherwise(shared) for n, less, f, m in zip(own, lost, follow, back))
+    return F.log(toxic / plain).cast("float").alias("evidence")
+
+
+def _sums() -> list[Column]:
+    """Of each class: counts, and what they lose."""
+    return [F.coalesce(F.sum(x), F.lit(0)).alias(f"{name}_{c}") for c in CLASSES for name, x in (("all", F.col(c)), ("lost", F.least(c, F.lit(CLASS_DISCOUNT))))]
+
+
+def _table(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and evidence; of two key columns the pair's key."""
+    table = found.toArrow()
+    *parts, values = (table.column(i).to_numpy() for i in range(table.num_columns))
+    parts = [p.astype(np.int64).view(np.uint64) for p in parts]
+    keys = pair_keys(*parts) if len(parts) == 2 else parts[0]
     order = np.argsort(keys)
-    log = lambda p: np.log(p[0] / p[1]).astype(np.float32)
-    return (known, log(of_words)), (keys[order], log(of_pairs)[kept][order])
+    return keys[order], values.astype(np.float32)[order]
+
+
+def word_evidence(pairs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Tables of all words, then of the pairs that keep a count in a class, from (before, word, toxic, plain)."""
+    words = pairs.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("company"))
+    all_of = words.agg(*_sums(), F.count("*").alias("words"), F.sum("company").alias("pairs")).first()
+    tokens, spread = max(all_of["all_toxic"] + all_of["all_plain"], 1), all_of["words"] / max(all_of["pairs"] or 0, 1)
+    shared = (F.col("toxic") + F.col("plain") - _DISCOUNT + _DISCOUNT * spread * F.col("company")) / tokens
+    own = tuple(F.col(c) for c in CLASSES)
+    of_words = words.select(F.xxhash64("word"), _ratio(shared, own, *(tuple(F.lit(all_of[f"{k}_{c}"]) for c in CLASSES) for k in ("all", "lost"))))
+
+    befores = pairs.groupBy("before").agg(*_sums(), F.count("*").alias("kinds"))
+    kept = pairs.where(F.greatest(*own) > CLASS_DISCOUNT).join(befores, "before").join(words.select("word", shared.alias("shared")), "word")
+    shared_pair = (F.col("toxic") + F.col("plain") - _DISCOUNT + _DISCOUNT * F.col("kinds") * F.col("shared")) / (F.col("all_toxic") + F.col("all_plain"))
+    of_pairs = kept.select(F.xxhash64("before"), F.xxhash64("word"), _ratio(shared_pair, own, *(tuple(F.col(f"{k}_{c}") for c in CLASSES) for k in ("all", "lost"))))
+    return _table(of_words), _table(of_pairs)
+
+
+def letter_evidence(pairs: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Table of what the last letter of a word's beginning says, for words that neither class has."""
+    words = pairs.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    words = words.withColumn("marked", F.concat(F.lit("^"), F.substring("word", 1, depth), F.lit("$")))
+    begins = words.select(F.explode(F.transform(F.sequence(F.lit(2), F.least(F.length("marked"), F.lit(depth))), lambda n: F.substring("marked", F.lit(1), n))).alias("begin"), "toxic", "plain")
+    begins = begins.groupBy("begin").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("words"))
+    begins = begins.where((F.col("words") > 1) | (F.greatest("toxic", "plain") > CLASS_DISCOUNT)).drop("words")
+    last = F.substring("begin", F.length("begin") - 1, F.lit(2))
+    begins = stage(begins.withColumns({"parent": F.substring("begin", F.lit(1), F.length("begin") - 1), "last": last, "prior": F.substring(last, 1, 1)}), "beginnings")
+    letters = max(2, begins.agg(F.count_distinct(F.substring("last", 2, 1))).first()[0])
+    lasts = begins.groupBy("last", "prior").agg(F.count("*").alias("n_last"))
+    priors = begins.groupBy(F.col("prior")).agg(F.count("*").alias("n_prior"))
+    low = lasts.join(priors, "prior").select("last", ((F.col("n_last") + 1 / letters) / (F.col("n_prior") + 1)).alias("low"))
+    parents = begins.groupBy("parent").agg(*_sums(), F.count("*").alias("kinds"))
+    rows = begins.join(parents, "parent").join(low, "last")
+    shared = (F.col("toxic") + F.col("plain") - _DISCOUNT + _DISCOUNT * F.col("kinds") * F.col("low")) / (F.col("all_toxic") + F.col("all_plain"))
+    return _table(rows.select(F.xxhash64("begin"), _ratio(shared, tuple(F.col(c) for c in CLASSES), *(tuple(F.col(f"{k}_{c}") for c in CLASSES) for k in ("all", "lost")))))
 
 
 def look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,42 +121,6 @@ def look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.
     return found, np.where(found, values[at], 0.0)
 
 
-class LetterEvidence:
-    """What each next letter of a word's beginning says, for words that neither class has."""
-
-    def __init__(self, counts: dict[str, tuple[int, int]]):
-        self.counts = counts
-        #: Of each beginning: what follows it, by class and in both; what that loses, by class; its kinds.
-        self.follow: dict[str, list[int]] = {}
-        pairs: Counter = Counter()
-        for begin, (toxic, plain) in counts.items():
-            f = self.follow.setdefault(begin[:-1], [0] * 6)
-            for i, n in enumerate((toxic, plain, toxic + plain, min(toxic, CLASS_DISCOUNT), min(plain, CLASS_DISCOUNT), 1)):
-                f[i] += n
-            pairs[begin[-2:]] += 1
-        self.pairs, self.after = pairs, Counter()
-        for pair, n in pairs.items():
-            self.after[pair[0]] += n
-        self.letters = max(2, len({p[-1:] for p in pairs}))
-
-    def _shared(self, begin: str) -> float:
-        low = (self.pairs[begin[-2:]] + 1 / self.letters) / (self.after[begin[-2]] + 1)
-        f = self.follow[begin[:-1]]
-        toxic, plain = self.counts[begin]
-        return (max(toxic + plain - _DISCOUNT, 0) + _DISCOUNT * f[5] * low) / f[2]
-
-    def step(self, begin: str) -> float:
-        f, shared, own = self.follow[begin[:-1]], self._shared(begin), self.counts[begin]
-        toxic, plain = ((max(own[i] - CLASS_DISCOUNT, 0) + f[3 + i] * shared) / f[i] if f[i] else shared for i in (0, 1))
-        return math.log(toxic / plain)
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.fromiter(map(word_key, self.counts), np.uint64, len(self.counts))
-        steps = np.fromiter(map(self.step, self.counts), np.float32, len(self.counts))
-        order = np.argsort(keys)
-        return keys[order], steps[order]
-
-
 class Evidence:
     """Evidence of each word of a text, from the tables of words, pairs and beginnings."""
 
@@ -274,18 +267,8 @@ def score(
     learned = rows.join(F.broadcast(picked), own == F.col("_id"))
     pairs = learned.where("not _fit").select("text", "_toxic").mapInArrow(_pairs, "before string, word string, toxic long, plain long")
     pairs = stage(pairs.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "pair_counts")
-    marked = F.concat(F.lit("^"), F.substring("word", 1, depth), F.lit("$"))
-    begins = pairs.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")).withColumn("marked", marked)
-    begins = begins.select(F.explode(F.transform(F.sequence(F.lit(2), F.least(F.length("marked"), F.lit(depth))), lambda n: F.substring("marked", F.lit(1), n))).alias("begin"), "toxic", "plain")
-    begins = begins.groupBy("begin").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("kinds"))
-    begins = begins.where((F.col("kinds") > 1) | (F.greatest("toxic", "plain") > CLASS_DISCOUNT)).drop("kinds")
-    # Bounded by the sample: 32 bytes a pair and fewer beginnings than words.
-    table = pairs.select(F.xxhash64("before").alias("before"), F.xxhash64("word").alias("word"), "toxic", "plain").toArrow()
-    before, word, toxic, plain = (table.column(i).to_numpy() for i in range(4))
-    of_words, of_pairs = word_evidence(before.astype(np.int64).view(np.uint64), word.astype(np.int64).view(np.uint64), (toxic, plain))
-    letters = begins.toPandas()
-    of_letters = LetterEvidence(dict(zip(letters["begin"], zip(letters["toxic"].tolist(), letters["plain"].tolist())))).table()
-    held = _Broadcast(spark.sparkContext.broadcast((of_words, of_pairs, of_letters)))
+    # Bounded by the sample: 12 bytes each of its words, pairs of at least four texts, and beginnings.
+    held = _Broadcast(spark.sparkContext.broadcast((*word_evidence(pairs), letter_evidence(pairs, depth))))
 
     measure = _evidence(held, depth, window)
     fitted = learned.where("_fit").select("_toxic", "text").mapInArrow(measure, "_toxic int, mean double, peak double, top double").toPandas()  # sample / fit_share rows
