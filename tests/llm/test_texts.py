@@ -6,6 +6,7 @@ import os
 import random
 import re
 import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -351,6 +352,63 @@ def test_html_marked_articles(spark):
     assert all(found[200 + i] == f"Details\nText {i}" for i in range(8))
 
 
+def test_html_marks_and_evidence(spark):
+    """Comments and teasers go with articles of their own; an article's compound names stay; what all its pages repeat in one goes."""
+    page = (
+        "<body><div class='content-sidebar-wrap'><p>Top line {0}</p><article class='post comments-open'><h1>Title</h1><p>Body {0}</p>"
+        "<div class='related-work'>Others did {0} <a href=x>[1]</a></div><div class='share-price'>Shares fell {0}</div>"
+        "<div class='share-buttons'>Tell all friends</div><div class='related-posts'><a href=a>Next {0}</a> <a href=b>Previous {0}</a></div></article></div>"
+        "<div class=comments><article><p>First! {0}</p></article><article class='comment even'>Second {0}</article></div>"
+        "<div class=related><article><h2>Teaser {0}</h2></article></div></body>"
+    )
+    wrapped = "<div class='sidebar-layout'>skip {0}<main><p>Kept {0}</p><section id=comments><article>no {0}</article></section></main></div>"
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(8)] + [(100 + i, f"http://b.example/{i}", wrapped.format(i)) for i in range(3)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == f"Title\nBody {i}\nOthers did {i} [1]\nShares fell {i}" for i in range(8))
+    assert all(found[100 + i] == f"Kept {i}" for i in range(3))
+
+
+def test_html_without_tree(spark):
+    """The tree decides: without its nodes the frame of every given page stays."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    assert all(html_extract.main_text(r["html"], frozenset()) != plain_article(r["html"]) for r in pages)
+
+
+def test_html_importance(spark):
+    """Importance of each node against entropies of its pages, counted one by one."""
+    layouts = ["<body><div class=a><p>same</p><b>{0}</b></div><div class=b>x</div></body>", "<body><div class=a><i>{0}</i><p>same</p></div></body>"]
+    htmls = [layouts[i % 3 // 2].format(i // 2) for i in range(9)]
+    pages = spark.createDataFrame([("h", x) for x in htmls], "host string, html string")
+    tree = {r["node"]: r for r in html_extract.site_tree(pages, gamma=0.7, least_pages=3).collect()}
+    looks, texts, kinds, count = defaultdict(Counter), defaultdict(Counter), defaultdict(int), Counter()
+    for x in htmls:
+        reader = html_extract.PageReader(x)
+        for i, labels in enumerate(reader.children):
+            key = reader.key[i]
+            count[key] += 1
+            looks[key][tuple(k for n, k in enumerate(labels) if not n or labels[n - 1] != k)] += 1
+            kinds[key] = max(kinds[key], len(set(labels)))
+        for leaf, text in {(i, t) for i, t in reader.blocks}:
+            for key in reader.above(leaf):
+                texts[key][reader.key[leaf], text] += 1
+    assert set(tree) == set(count)
+    for key, m in count.items():
+        base = math.log(max(m, 2))
+        look = -sum(n / m * math.log(n / m) for n in looks[key].values()) / base
+        told = 1 - sum(math.log(n) for n in texts[key].values()) / len(texts[key]) / base if texts[key] else 1.0
+        weight = 0.7 ** kinds[key]
+        want = max(0.0, (1 - weight) * look + weight * told) if m >= 3 else 1.0
+        assert tree[key]["pages"] == m and math.isclose(tree[key]["importance"], want, abs_tol=1e-9)
+
+
+def test_html_long_pages():
+    """Time grows with the page, however its elements are nested or left open."""
+    odd = ["<p>x" + "<font>t " * 100_000, "<p>" + "<b>x</b> y " * 100_000, "<div>" * 100_000 + "t", "<p><div>" + "<font>" * 50_000 + "<hr>" * 50_000, "<i>" * 50_000 + "</b>" * 50_000]
+    begin = time.process_time()
+    sizes = [len(html_extract.main_text(x, frozenset())) for x in odd]
+    assert sizes == [200_000, 399_999, 1, 0, 0] and time.process_time() - begin < 60
+
+
 def test_pipeline(spark, documents, odd):
     docs = documents
     for name, step in corpus_pipeline.STAGES[:-1]:
