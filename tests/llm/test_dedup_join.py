@@ -3,13 +3,14 @@
 import re
 import zlib
 from collections import Counter, defaultdict
+from datetime import datetime
 
 import pytest
 
 from tidemark.llm.common import components
 from tidemark.llm.exact_dedup import cut_points, exact_dedup, keep_first
 from tidemark.llm.jaccard_join import jaccard_components, keep_one, shingles
-from tidemark.llm.kd_sharding import kd_shards
+from tidemark.llm.kd_sharding import _nodes, kd_shards
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
 
@@ -158,3 +159,22 @@ def test_kd_shards_groups(spark, odd):
     assert max((c := Counter(r["shard"] for r in kd_shards(hot, shards=8).collect())).values()) < 1.2 * min(c.values())
     assert kd_shards(odd, shards=8).count() == odd.count()
     assert kd_shards(odd.where("false"), shards=8).count() == 0
+
+
+def test_kd_shards_dimensions(spark):
+    """Strings that differ late, fractions, wide and negative numbers split the tree by their order; nulls come first."""
+    names = [None, "crawl-2023-a", "crawl-2023-b", "crawl-2024-07"]
+    kinds = [
+        ("string", names),
+        ("double", [None, -0.5, 0.25, 0.75]),
+        ("long", [None, -(1 << 62), 5, 1 << 62]),
+        ("int", [None, -7, -2, 3]),
+        ("timestamp", [None, *(datetime(2024, 1, 1, 0, 0, k) for k in range(3))]),
+    ]
+    for kind, values in kinds:
+        rows = [(4 * i + k, f"text {4 * i + k:04d}", v) for i in range(50) for k, v in enumerate(values)]
+        docs = spark.createDataFrame(rows, f"doc_id long, text string, at {kind}")
+        for limit in (8 << 20, 0) if kind == "string" else (8 << 20,):
+            found = {r["doc_id"]: r["shard"] for r in kd_shards(docs, dims=("at",), shards=4, broadcast_bytes=limit).collect()}
+            assert len(found) == 200 and all(shard == i % 4 for i, shard in found.items()), kind
+    assert _nodes(spark, [(i, -i) for i in range(100_000)], "node, at").agg({"at": "min"}).first()[0] == -99_999

@@ -4,6 +4,8 @@ A node is cut along its widest metadata dimension where the bytes below reach th
 are cut again until a leaf holds the target bytes. A median is found by counting, not sorting: bytes are summed in a
 fixed number of bins, the bin that holds the median is binned again, until it holds a single value; rows of that one
 value are told apart the same way by a hash. Every sum is combined on the map side; the driver sees one row a node.
+Whole numbers are coordinates as they are; values of any other type (strings, fractions, times) by their exact rank among
+the distinct values, which are counted on the map side and sorted in ranges.
 Equal texts take the place of their first row, so they land in one leaf, unless their group alone weighs more than a
 ``split_share`` of a leaf: such groups are dealt row by row.
 
@@ -14,6 +16,7 @@ whatever their names. DataFrame functions only.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,19 +28,47 @@ from .common import stage
 
 
 def _nodes(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    """A broadcast table of whole numbers, one row a node, made without a Python worker."""
-    values = ", ".join("(" + ", ".join(f"{int(v)}L" for v in r) + ")" for r in rows)
-    table = f"SELECT * FROM VALUES {values} AS t({names})" if rows else "SELECT " + ", ".join(f"0L AS {n.strip()}" for n in names.split(",")) + " WHERE false"
-    return F.broadcast(spark.sql(table))
+    """A broadcast table of whole numbers, one row a node, made without a Python worker: one literal, however many nodes."""
+    columns = [n.strip() for n in names.split(",")]
+    text = json.dumps([{n: int(v) for n, v in zip(columns, r)} for r in rows])
+    kind = "array<struct<" + ", ".join(f"{n}: bigint" for n in columns) + ">>"
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(text), kind))))
 
 
-def _code(docs: DataFrame, name: str) -> Column:
-    """A whole number that sorts as the column does: strings by their first seven bytes."""
-    kind = docs.schema[name].dataType
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.hex(F.substring(F.col(name).cast("binary"), 1, 7))
-        return F.coalesce(F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long"), F.lit(-1))
-    return F.coalesce(F.col(name).cast("long"), F.lit(-1).cast("long"))
+def _ranks(docs: DataFrame, name: str, value: str, code: str) -> DataFrame:
+    """(value, code): the distinct values of a column that aren't null, numbered from 0 in their order.
+
+    No task sees all values: each range of the sort is numbered alone and starts where those before it end.
+    """
+    values = docs.select(F.col(name).alias(value)).where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    ranged = values.select(value).orderBy(value).select(value, F.monotonically_increasing_id().alias("at"))
+    ranged = stage(ranged.select(value, F.shiftright("at", 33).alias("range"), F.expr("at & 8589934591").alias("nth")), "shard_values")
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))  # one row a range
+    start = F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("range", start.alias("start")))
+    return ranged.join(starts, "range").select(value, (F.col("start") + F.col("nth")).cast("long").alias(code))
+
+
+def _coordinates(docs: DataFrame, dims: tuple[str, ...], broadcast_bytes: int) -> tuple[list[Column], list[tuple[str, str, DataFrame, bool]]]:
+    """For each dimension a column that sorts as it does, null first, and the rank tables that it needs."""
+    longs = [d for d in dims if isinstance(docs.schema[d].dataType, T.LongType)]
+    found = docs.agg(*[f(d).alias(f"{n}{i}") for i, d in enumerate(longs) for n, f in (("lo", F.min), ("hi", F.max))]).first() if longs else None
+    columns, tables = [], []
+    for i, d in enumerate(dims):
+        least = None
+        if isinstance(docs.schema[d].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
+            least = -(1 << 31)
+        elif d in longs:
+            lo, hi = (found[f"{n}{longs.index(d)}"] or 0 for n in ("lo", "hi"))
+            least = lo if -(1 << 61) < lo and hi < 1 << 61 else None  # differences of wider ones are no longs
+        if least is not None:
+            columns.append(F.coalesce(F.col(d).cast("long"), F.lit(least - 1).cast("long")))
+            continue
+        ranks = stage(_ranks(docs, d, f"v{i}", f"r{i}"), "shard_ranks")
+        size = ranks.agg(F.sum(F.octet_length(F.col(f"v{i}").cast("string").cast("binary")) + 16)).first()[0] or 0
+        tables.append((d, f"v{i}", ranks, size <= broadcast_bytes))
+        columns.append(F.coalesce(F.col(f"r{i}"), F.lit(-1).cast("long")))
+    return columns, tables
 
 
 def _key(n_dims: int) -> Column:
@@ -107,21 +138,30 @@ def kd_shards(
     target_bytes: int | None = None,
     bins: int = 1024,
     split_share: float = 1 / 64,
+    broadcast_bytes: int = 8 << 20,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot); shards are leaves from left to right, slots gapless from 0.
 
     Give ``shards``, or ``target_bytes`` of a leaf. The tree's nodes, at most as many as leaves, pass through the driver.
+    ``broadcast_bytes``: distinct values of a dimension up to this size are broadcast with their ranks, more are joined by
+    a shuffle.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    coords = [_code(docs, d).alias(f"d{i}") for i, d in enumerate(dims)]
+    coords, tables = _coordinates(docs, dims, broadcast_bytes)
     own = [F.col(f"d{i}") for i in range(len(dims))]
     base = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("w"),
         F.crc32(text.cast("binary")).alias("crc"),
         F.xxhash64(text).alias("h"),
-        *coords,
+        *[F.col(d).alias(v) for d, v, _, _ in tables],
+        *[c.alias(f"d{i}") for i, c in enumerate(coords) if f"v{i}" not in {v for _, v, _, _ in tables}],
     )
+    for _, value, ranks, small in tables:
+        base = base.join(F.broadcast(ranks) if small else ranks, value, "left")
+    ranked = {f"v{i}": c.alias(f"d{i}") for i, c in enumerate(coords)}
+    kept = ["doc_id", "w", "crc", "h", *[c for c in base.columns if c[0] == "d" and c[1:].isdigit()]]
+    base = base.select(*kept, *[ranked[v] for _, v, _, _ in tables])
     base = stage(base, "shard_rows")
     total = base.agg(F.sum("w").alias("w"), F.count("*").alias("n"), *[f(f"d{i}").alias(f"{n}{i}") for i in range(len(dims)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     weight = total["w"] or 0
@@ -143,8 +183,8 @@ def kd_shards(
     while weight and max(leaves.values()) > 1:
         rows = stage(_split(rows, leaves, len(dims), extent, bins), "shard_nodes")
         leaves = {c: k for node, n in leaves.items() for c, k in ((2 * node, n // 2 if n > 1 else 1), (2 * node + 1, n - n // 2 if n > 1 else 0)) if k}
-    number = F.create_map(*[F.lit(x) for i, node in enumerate(sorted(leaves)) for x in (node, i)])
-    rows = rows.withColumn("shard", number[F.col("node")].cast("int"))
+    number = _nodes(docs.sparkSession, [(node, i) for i, node in enumerate(sorted(leaves))], "node, number")
+    rows = rows.join(number, "node").withColumn("shard", F.col("number").cast("int"))
 
     # Slots without a task that sees a whole shard: numbered in small buckets, whose sizes add up to the starts.
     buckets = max(1, math.isqrt(total["n"]))
