@@ -42,6 +42,22 @@ def test_a_payload_is_parsed_and_shuffled_once(spark, sf):
     assert sorted((r["id"], r["n_refunds"]) for r in df.collect()) == [(1, 2), (2, 0), (2, 0)]
 
 
+def test_derived_lists_are_built_once_for_an_explode(spark, sf):
+    nodes = feeds.order_nodes(spark, sf).select("id", F.col("lineItems.edges").alias("edges"))
+    rows = explode_list(nodes, "edges", "id")
+    assert not [line for line in plan(rows).split("\n") if line.strip(" :+-").startswith("Filter") and "transform(" in line]
+    assert not [line for line in plan(queries.gid_normalize(spark, sf)).split("\n") if line.strip(" :+-").startswith("Filter") and "transform(" in line]
+    assert sorted(r["__pos"] for r in rows.collect()) == [0, 1]
+
+
+@pytest.mark.parametrize("query", ["order_daily_summary", "inject_shop_id", "explode_shipping_lines"])
+def test_shared_orders_are_stored_flat(spark, sf, query, monkeypatch):
+    stored = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, *parts: stored.append(f"{sf}/shared_{query}") or stored[-1])
+    getattr(queries, query)(spark, sf).collect()
+    assert set(spark.read.parquet(stored[0]).columns) == {*spark.read.parquet(f"{sf}/orders.parquet").columns, "lines"}
+
+
 def test_scans_keep_what_fails_and_what_is_skipped(docs):
     node = {"id": "gid://x/Customer/1"}
     pages = docs({"data": {"customers": {"edges": [{"node": node}]}}}, {"data": {"customers": {"edges": []}}}, {"data": {"customers": None}}, " ")

@@ -20,7 +20,7 @@ from ..operators import changes as CH
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..operators.merge import merge_counts
-from ..operators.nested import flatten, normalize_ids, truncation_report, unwrap_connections
+from ..operators.nested import explode_list, flatten, normalize_ids, truncation_report, unwrap_connections
 from ..operators.normalize import typed_projection
 from ..session import prepare, scratch_path
 from ..sources import raw_schema as RS
@@ -59,14 +59,15 @@ def _ntz(c: Column | str) -> Column:
 
 
 def _order_tables(spark: SparkSession, sf: str, shared: bool = False) -> dict[str, DataFrame]:
-    """The 12 order tables. ``shared``: the caller reads several of them, so the nested orders are built
-    once and written as Parquet, of which each table reads only its own lists."""
-    nodes = feeds.order_nodes(spark, sf)
+    """The 12 order tables. ``shared``: the caller reads several of them, so the orders with their lines are joined
+    once and written as Parquet, still flat; each table builds only its own lists of the nodes from there."""
+    orders = None
     if shared:
-        path = scratch_path(spark, "order_nodes")
-        nodes.write.parquet(path)
-        nodes = spark.read.schema(nodes.schema).parquet(path)
-    return R.order_tables(nodes, SHOP_ID)
+        path = scratch_path(spark, "orders")
+        flat = feeds.orders_with_lines(spark, sf)
+        flat.write.parquet(path)
+        orders = spark.read.schema(flat.schema).parquet(path)
+    return R.order_tables(feeds.order_nodes(spark, sf, orders=orders), SHOP_ID)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -95,7 +96,7 @@ def unwrap_connection(spark, sf):
     _ctx(spark)
     nodes = feeds.order_nodes(spark, sf, mixed_connections=True).select("id", "lineItems")
     flat = unwrap_connections(nodes, ["lineItems"])
-    rows = flat.select(gid_to_long("id").alias("order_id"), F.posexplode("lineItems").alias("position", "li"))
+    rows = explode_list(flat, "lineItems", gid_to_long("id").alias("order_id"), pos="position", elem="li")
     return rows.select("order_id", F.col("position").cast("bigint").alias("position"),
                        gid_to_long("li.id").alias("line_item_id"), F.col("li.quantity").alias("quantity"))
 
@@ -233,8 +234,7 @@ def gid_normalize(spark, sf):
     _ctx(spark)
     n = feeds.order_nodes(spark, sf, bad_gids=True).select("id", "customer", "lineItems")
     n = normalize_ids(unwrap_connections(n, ["lineItems"]))
-    rows = n.select(F.col("id").alias("order_id"), F.col("customer.id").alias("customer_id"),
-                    F.explode("lineItems").alias("li"))
+    rows = explode_list(n, "lineItems", F.col("id").alias("order_id"), F.col("customer.id").alias("customer_id"), elem="li")
     return rows.select("order_id", F.col("li.id").alias("line_item_id"), F.col("li.product.id").alias("product_id"),
                        "customer_id")
 
