@@ -698,14 +698,23 @@ def bulk_relanded(spark, sf):
     return _checksums(store, sorted(report.tables), values)
 
 
+KEYS_A_TASK = 1_000_000
+
+
 def _checksums(store: TableStore, tables: list[str], values: dict[str, Column]) -> DataFrame:
-    """(table_name, n_rows, n_keys, key_sum, value_sum) of each table; keys by the first column after the tenant's."""
+    """(table_name, n_rows, n_keys, key_sum, value_sum) of each table; keys by the first column after the tenant's.
+
+    Keys are shuffled into parts of about ``KEYS_A_TASK`` rows before they are grouped, so that no task's table of distinct
+    keys grows with the input."""
     parts = []
     for name in tables:
-        pk = TABLES[name].pk
-        parts.append(store.read(name).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*pk).alias("n_keys"),
-            F.sum(pk[1]).cast("bigint").alias("key_sum"), F.coalesce(F.sum(values.get(name, F.lit(0))), F.lit(0)).cast("bigint").alias("value_sum")))
+        pk, rows = TABLES[name].pk, store.read(name)
+        n_parts = 1 + rows.count() // KEYS_A_TASK
+        narrow = rows.select(*pk, values.get(name, F.lit(0)).alias("__value")).repartition(n_parts, *pk)
+        keys = narrow.groupBy(*pk).agg(F.count(F.lit(1)).alias("__n"), F.sum("__value").alias("__value"))
+        parts.append(keys.agg(
+            F.lit(name).alias("table_name"), F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+            F.sum(F.col(pk[1]) * F.col("__n")).cast("bigint").alias("key_sum"), F.coalesce(F.sum("__value"), F.lit(0)).cast("bigint").alias("value_sum")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
