@@ -58,6 +58,28 @@ def test_shared_orders_are_stored_flat(spark, sf, query, monkeypatch):
     assert set(spark.read.parquet(stored[0]).columns) == {*spark.read.parquet(f"{sf}/orders.parquet").columns, "lines"}
 
 
+def test_bits_keep_the_rows_numbered(spark):
+    df = spark.range(100_000).withColumn("n", F.col("id") + F.lit(1 << 33))
+    kept = CH.rows_in_bits(df, "n", CH.row_bits(df.where("id % 3 = 0 or id = 32767").select("n"), "n"))
+    assert sorted(r["id"] for r in kept.collect()) == [i for i in range(100_000) if i % 3 == 0 or i == 32767]
+
+
+def test_only_nodes_that_share_their_id_are_compared(spark):
+    df = spark.createDataFrame([("gid://x/Order/1", "2024-01-01T00:00:00Z"), ("gid://x/Order/1", "2024-01-02T00:00:00Z"), ("gid://x/Order/2", None), ("none", None), ("none", None)],
+                               "id string, updatedAt string")
+    once = df.where("id != 'gid://x/Order/1'")
+    assert jobs.latest_stored(once) is once
+    assert sorted(map(str, jobs.latest_stored(df).collect())) == sorted(map(str, jobs.latest_nodes(df).collect()))
+
+
+def test_first_merge_of_stored_rows_writes_no_delta(spark, store, monkeypatch):
+    rows = spark.createDataFrame([(i, i % 7, []) for i in range(100)] + [(None, 1, ["a"])], "id long, v long, __failed array<string>")
+    monkeypatch.setattr(type(store), "_merge", lambda *a, **k: pytest.fail("a delta was written"))
+    r = store.merge("t", rows, ["id"], unique=True, stored=True)
+    assert (r.rows_in, r.inserted, r.updated, r.rejected) == (101, 100, 0, 1) and store.read("t").columns == ["id", "v"]
+    assert len(store.commit_info("t")["buckets"]) == 4 and store.read("_rejects").count() == 1 and store.read("_cast_failures").first()["n_rows"] == 1
+
+
 def test_distinct_keys_are_counted_in_bounded_parts(spark, store, monkeypatch):
     monkeypatch.setattr(queries, "KEYS_A_TASK", 10)
     store.merge("collection", spark.createDataFrame([(1, i, "ab") for i in range(45)], "shop_id long, id long, title string"), ["shop_id", "id"])
