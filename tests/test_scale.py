@@ -84,7 +84,7 @@ def test_distinct_keys_are_counted_in_bounded_parts(spark, store, monkeypatch):
     monkeypatch.setattr(queries, "KEYS_A_TASK", 10)
     store.merge("collection", spark.createDataFrame([(1, i, "ab") for i in range(45)], "shop_id long, id long, title string"), ["shop_id", "id"])
     sums = queries._checksums(store, ["collection"], {"collection": F.length("title")})
-    assert tuple(sums.first()) == ("collection", 45, 45, 990, 90) and "hashpartitioning(shop_id" in plan(sums) and ", 5), REPARTITION_BY_NUM" in plan(sums)
+    assert tuple(sums.first()) == ("collection", 45, 45, 990, 90) and "hashpartitioning(shop_id" in plan(sums) and ", 6), REPARTITION_BY_NUM" in plan(sums)
 
 
 def test_scans_keep_what_fails_and_what_is_skipped(docs):
