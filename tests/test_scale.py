@@ -92,3 +92,26 @@ def test_scans_keep_what_fails_and_what_is_skipped(docs):
     pages = docs({"data": {"customers": {"edges": [{"node": node}]}}}, {"data": {"customers": {"edges": []}}}, {"data": {"customers": None}}, " ")
     assert scans.page_scan(pages, "customers", RS.CUSTOMER_NODE).count() == 1
     assert scans.payload_scan(docs({"data": {"nodes": []}}, {"data": None}, {}), RS.ORDER_NODE).count() == 0
+
+
+def test_likely_keys_keep_all_wanted_rows(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.concat(F.lit("gid://x/Order/"), F.col("id") % 10_000).alias("id"), F.col("id").alias("n"))
+    keys = rows.where("n % 10 = 3 and n < 10000").select(F.col("id").alias("gid"))
+    got = CH.likely_in(rows.unionByName(rows.limit(1).select(F.lit(None).cast("string").alias("id"), "n")), "id", keys, 1000)
+    assert got.columns == ["id", "n"] and got.join(keys, got.id == keys.gid).count() == 2000
+    assert 2000 <= got.count() < 4500  # an eighth of the bits at most are set
+    monkeypatch.setattr(CH, "MOST_KEYS", 999)
+    assert CH.likely_in(rows, "id", keys, 1000) is rows
+
+
+def test_payloads_of_unchanged_orders_are_not_staged(spark, store, sf):
+    from tidemark.operators import windows as W
+
+    lines = feeds.order_snapshot_lines(spark, sf).where("value like '%Order/1?%'")
+    window = W.Window(W.utc("1997-01-01"), W.utc("1997-12-31"))
+    nodes = feeds.order_nodes(spark, sf)
+    report = jobs.load_orders_bulk(store, lines, nodes.unionByName(nodes), window)
+    assert store.read("_staging__orders_payloads").count() == 2 and report.to_hydrate == 1
+    assert (store.read("order").count(), store.read("order__line_items").count()) == (1, 2)
+    with pytest.raises(Exception, match="payload missing for id gid://shop/Order/2"):
+        jobs.load_orders_bulk(store, feeds.order_snapshot_lines(spark, sf), nodes.where("id like '%Order/1?%'"), window)
