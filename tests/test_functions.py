@@ -80,3 +80,15 @@ def test_explode_then_regroup_is_identity(spark, arrays):
     back = child.groupBy("parent_id").agg(F.array_sort(F.collect_list(F.struct("index", "x"))).alias("s"))
     got = {r.parent_id: [e.x for e in r.s] for r in back.collect()}
     assert got == {i: a for i, a in rows if a}
+
+
+def test_gid_is_cut_without_patterns():
+    assert "split" not in str(gid_to_long(F.col("v")))
+
+
+@pytest.mark.parametrize("raw", ["gid://x/", "gid://x/?", "?1", "7?x?y", "a/8", "gid://x/Y/5?", "gid://", "gid://x//6", " 4 ", "gid://x/é/3?ü"])
+def test_gid_cuts_as_patterns_do(spark, raw):
+    s = F.col("v")
+    tail = F.when(s.contains("gid://"), F.element_at(F.split(s, "/"), -1)).otherwise(s)
+    row = spark.createDataFrame([(raw,)], "v string").select(gid_to_long("v"), F.split(tail, r"\?").getItem(0).try_cast("bigint")).first()
+    assert row[0] == row[1]

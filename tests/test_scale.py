@@ -115,3 +115,13 @@ def test_payloads_of_unchanged_orders_are_not_staged(spark, store, sf):
     assert (store.read("order").count(), store.read("order__line_items").count()) == (1, 2)
     with pytest.raises(Exception, match="payload missing for id gid://shop/Order/2"):
         jobs.load_orders_bulk(store, feeds.order_snapshot_lines(spark, sf), nodes.where("id like '%Order/1?%'"), window)
+
+
+def test_staged_rows_are_written_without_dictionaries(spark, store):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    jobs._stage(store, "texts", spark.range(1000).selectExpr("'same' as t").coalesce(1), None)
+    part = pq.ParquetFile(glob.glob(f"{store.root}/_staging__texts/v=*/*.parquet")[0]).metadata.row_group(0).column(0)
+    assert not part.has_dictionary_page and store.read("_staging__texts").where("t = 'same'").count() == 1000
