@@ -125,3 +125,16 @@ def test_staged_rows_are_written_without_dictionaries(spark, store):
     jobs._stage(store, "texts", spark.range(1000).selectExpr("'same' as t").coalesce(1), None)
     part = pq.ParquetFile(glob.glob(f"{store.root}/_staging__texts/v=*/*.parquet")[0]).metadata.row_group(0).column(0)
     assert not part.has_dictionary_page and store.read("_staging__texts").where("t = 'same'").count() == 1000
+
+
+def test_first_merges_read_key_columns_and_then_the_rows_once(spark, store, monkeypatch):
+    asked, rows = [], spark.createDataFrame([(1, i) for i in range(64)], "shop_id long, id long")
+    ends = type(store).key_ends
+    monkeypatch.setattr(type(store), "key_ends", lambda self, keyed: asked.append(sorted(keyed)) or ends(self, keyed))
+    monkeypatch.setattr(type(store), "_accepted", lambda *a: pytest.fail("the rows were read again"))
+    tables = {"product": rows, "product__images": rows.withColumn("product_id", F.col("id")),
+              "product__tags": rows.select("shop_id", F.col("id").alias("product_id"), F.lit(0).cast("long").alias("index")).where("product_id < 32")}
+    got = jobs.merge_tables(store, tables)
+    assert asked == [["product", "product__images"]]
+    assert {k: r.inserted for k, r in got.items()} == {"product": 64, "product__images": 64, "product__tags": 32}
+    assert [len(store.commit_info(t)["buckets"]) for t in tables] == [4, 4, 2]
