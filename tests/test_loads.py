@@ -169,3 +169,18 @@ def test_truncations_at_any_depth(spark, tmp_path):
     jobs.run(store, {"orders": nodes}, ["orders"])
     assert sorted(tuple(r)[1:] for r in store.read("_truncations").collect()) == want
     assert truncations(spark.range(1)) is None
+
+
+def test_cast_failures_are_listed_without_a_list_for_good_rows(spark):
+    from tidemark.plans import resources as R
+    from tidemark.sources.store import FAILED_COL
+
+    df = spark.createDataFrame([("2024-01-01T00:00:00Z", "1.5"), ("bad", "x"), (None, " "), ("bad", "2")], "created_at string, price string")
+    token = R.TRACK_CASTS.set(True)
+    try:
+        rows = R.finish(df)
+    finally:
+        R.TRACK_CASTS.reset(token)
+    assert [r[FAILED_COL] for r in rows.collect()] == [[], ["created_at", "price"], [], ["created_at"]]
+    column = [c for c in str(rows._jdf.queryExecution().optimizedPlan()).split("\n") if FAILED_COL in c][0]
+    assert column.index("CASE WHEN") < column.index("filter(")  # the list is only made behind a condition
